@@ -56,44 +56,49 @@ def text_features(column: pa.Array, bits: int = BUCKET_BITS):
 def fit(texts: pa.Array, labels: np.ndarray, share: float, steps: int = 60, decay: float = 1e-3, bits: int = BUCKET_BITS):
     """(weights by bucket, intercept): logistic regression on scaled features."""
     rows, found = [], []
+    counts = np.zeros((2, 1 << bits), dtype=np.int32)
     for row, x in text_features(texts, bits):
         rows.append(row)
         found.append(x)
+        counts[int(labels[row] > 0), x] += 1
     y = labels[np.array(rows, dtype=np.int64)].astype(np.float32) if rows else np.zeros(0, np.float32)
     if not 0 < y.sum() < len(y):
         return None
-    size = np.array([len(x) for x in found])
-    x = np.concatenate(found)
-    toxic = np.repeat(y > 0, size)
-    p = np.bincount(x[toxic], minlength=1 << bits)
-    q = np.bincount(x[~toxic], minlength=1 << bits)
+    q, p = counts
     ratio = np.log((p + 1) / (p + 1).sum()) - np.log((q + 1) / (q + 1).sum())
     ratio[p + q < LEAST_TEXTS] = 0
     known = np.flatnonzero(ratio)
     place = np.full(1 << bits, -1, dtype=np.int32)
     place[known] = np.arange(len(known))
-    x = place[x]
-    held = x >= 0
-    row = np.repeat(np.arange(len(y)), size)[held]
-    x = x[held]
-    r = ratio[known].astype(np.float32)
-    scaled = r[x] / np.float32(10)
+    for k, x in enumerate(found):
+        at = place[x]
+        found[k] = at[at >= 0]
+    blocks = []
+    for k in range(0, len(found), 256):
+        size = [len(x) for x in found[k : k + 256]]
+        blocks.append((slice(k, k + len(size)), np.concatenate(found[k : k + 256]), np.array(size)))
+    del found, counts
+    r = ratio[known].astype(np.float32) / np.float32(10)
     w, bias = np.zeros(len(known), np.float32), 0.0
     m = np.zeros_like(w)
     v = np.zeros_like(w)
     bm = bv = 0.0
     for t in range(1, steps + 1):
-        z = np.bincount(row, weights=w[x] * scaled, minlength=len(y)) + bias
-        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / len(y)
-        g = np.bincount(x, weights=error[row] * scaled, minlength=len(known)).astype(np.float32) + np.float32(decay / len(y)) * w
-        gb = error.sum()
+        g = np.float32(decay / len(y)) * w
+        gb = 0.0
+        wr = w * r
+        for rows_, x, size in blocks:
+            z = np.bincount(np.repeat(np.arange(len(size)), size), weights=wr[x], minlength=len(size)) + bias
+            error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[rows_]) / len(y)
+            g += r * np.bincount(x, weights=np.repeat(error, size), minlength=len(known)).astype(np.float32)
+            gb += float(error.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         bm, bv = 0.9 * bm + 0.1 * gb, 0.999 * bv + 0.001 * gb * gb
         rate = 0.05
         w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         bias = bias - rate * (bm / (1 - 0.9**t)) / (np.sqrt(bv / (1 - 0.999**t)) + 1e-8)
     full = np.zeros(1 << bits, dtype=np.float32)
-    full[known] = w * r / 10
+    full[known] = w * r
     prior = y.mean()
     share = min(max(share, 1e-6), 1 - 1e-6)
     bias += np.log(share / (1 - share)) - np.log(prior / (1 - prior))

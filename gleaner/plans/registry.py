@@ -1,4 +1,680 @@
-"""Queries by name, and the SQL that gives the same rows."""
+"""Queries by name, each with the SQL that gives the same rows where SQL can.
+
+A query takes (spark, sf_dir).  SQL is DuckDB's over the supplied tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from gleaner.functions import addresses, dates, quality, text, urls
+from gleaner.operators import classify, identity, queue, reports, store
+from gleaner.plans import views as V
+from gleaner.sources import listings, pages, registry, sitemaps
+from gleaner.streaming import gate
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+
+
+def query(sql: str | None = None):
+    """Registers a function as a query by its name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _docs(spark, sf_dir):
+    return V.table(spark, sf_dir, "documents")
+
+
+def _pages(spark, sf_dir):
+    return V.table(spark, sf_dir, "pages")
+
+
+def _hashed(spark, sf_dir):
+    """Documents as articles with their content hash; texts are in normal form, so no decoding."""
+    return _docs(spark, sf_dir).select("doc_id", "source", "n_chars", "text", text.content_hash(F.col("text"), decode=False).alias("content_hash"))
+
+
+SQL_HASHED = f"hashed AS (SELECT doc_id, source, n_chars, text, sha256({V.sql_content_form('text')}) AS content_hash FROM documents)"
+_METRICS = V.sql_metrics("text")
+_RATIOS = ("letter_ratio", "repeated_line_ratio", "token_diversity")
+
+
+# text
+
+@query(f"SELECT doc_id, {', '.join(f'round({v}, 6) AS {k}' if k in _RATIOS else f'{v} AS {k}' for k, v in _METRICS.items() if k != 'repeated_line_ratio')} FROM documents")
+def doc_metrics(spark, sf_dir):
+    """Characters, words, sentences and ratios of every document."""
+    m = _docs(spark, sf_dir).select("doc_id", text.metrics(F.col("text")).alias("m"))
+    return m.select("doc_id", "m.character_count", "m.word_count", "m.sentence_count", F.round("m.letter_ratio", 6).alias("letter_ratio"), F.round("m.token_diversity", 6).alias("token_diversity"))
+
+
+@query(f"SELECT doc_id, round({V.sql_repeated('text')}, 6) AS repeated_line_ratio FROM documents")
+def repeated_line_ratio(spark, sf_dir):
+    """Share of characters in repeated lines."""
+    return _docs(spark, sf_dir).select("doc_id", F.round(text.repeated_line_ratio(F.col("text")), 6).alias("repeated_line_ratio"))
+
+
+@query(f"SELECT doc_id, {V.sql_cleaned('text')} AS cleaned_text FROM documents")
+def clean_text_lines(spark, sf_dir):
+    """Texts cleaned of labels and adjacent repeats."""
+    return _docs(spark, sf_dir).select("doc_id", text.cleaned(F.col("text")).alias("cleaned_text"))
+
+
+@query(f"WITH {SQL_HASHED} SELECT content_hash, count(*) AS copies, min(doc_id) AS first_id FROM hashed GROUP BY content_hash HAVING count(*) > 1")
+def content_hash_dups(spark, sf_dir):
+    """Groups of documents with equal content hashes, entities and Unicode forms included."""
+    h = _docs(spark, sf_dir).select("doc_id", text.content_hash(F.col("text")).alias("content_hash"))
+    return h.groupBy("content_hash").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id")).where("copies > 1")
+
+
+@query(f"WITH {SQL_HASHED}, g AS (SELECT count(*) AS copies FROM hashed GROUP BY content_hash HAVING count(*) > 1) SELECT coalesce(sum(copies - 1), 0)::BIGINT AS exact_duplicate_extras FROM g")
+def dup_extras(spark, sf_dir):
+    """Documents beyond the first of each content hash."""
+    return reports.duplicate_extras(_hashed(spark, sf_dir))
+
+
+@query("WITH t AS (SELECT split_part(text, chr(10), 1) AS title FROM documents) SELECT min(title) AS title, count(*) AS copies FROM t GROUP BY lower(trim(title)) HAVING count(*) > 1 ORDER BY copies DESC, title LIMIT 25")
+def dup_titles_top25(spark, sf_dir):
+    """The commonest repeated first lines."""
+    return reports.duplicate_titles(_docs(spark, sf_dir).select(F.substring_index("text", "\n", 1).alias("title")))
+
+
+_FORM = "trim(regexp_replace(replace(regexp_replace(lower({}), 'r\\s*&\\s*d', 'research and development', 'g'), '&', ' and '), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id, {_FORM.format('text')} AS form FROM documents")
+def keyword_form(spark, sf_dir):
+    """The classifier's normal form."""
+    return _docs(spark, sf_dir).select("doc_id", text.keyword_form(F.col("text")).alias("form"))
+
+
+# quality gate
+
+def _gated(spark, sf_dir):
+    return quality.validated(V.articles(spark, sf_dir).drop("published_at"), V.as_of())
+
+
+_GATED = "WITH " + V.sql_codes()
+
+
+@query(f"{_GATED} SELECT id, array_to_string(codes, ',') AS codes FROM gated")
+def quality_codes(spark, sf_dir):
+    """All rejection codes of every article, in order."""
+    return _gated(spark, sf_dir).select("id", F.array_join("rejection_codes", ",").alias("codes"))
+
+
+@query(f"{_GATED} SELECT id, quality_score, accepted FROM gated")
+def quality_score(spark, sf_dir):
+    """Score of every article."""
+    return _gated(spark, sf_dir).select("id", "quality_score", "accepted")
+
+
+@query(f"{_GATED} SELECT coalesce(reason_code, 'ACCEPTED') AS reason_code, count(*) AS n FROM gated GROUP BY ALL")
+def first_reason_counts(spark, sf_dir):
+    """Articles by first rejection code."""
+    return _gated(spark, sf_dir).groupBy(F.coalesce("reason_code", F.lit("ACCEPTED")).alias("reason_code")).agg(F.count("*").alias("n"))
+
+
+@query(f"{_GATED} SELECT id, url AS canonical_url, published_at::DATE AS published_day, sha256({V.sql_content_form('clean')}) AS content_hash FROM gated WHERE accepted")
+def accepted_articles(spark, sf_dir):
+    """Accepted articles with their identity."""
+    return _gated(spark, sf_dir).where("accepted").select("id", "canonical_url", F.to_date("published_at").alias("published_day"), "content_hash")
+
+
+@query(f"{_GATED} SELECT id, reason_code, length(clean)::INTEGER AS text_length FROM gated WHERE NOT accepted")
+def quarantine(spark, sf_dir):
+    """Rejected articles with their first code."""
+    return _gated(spark, sf_dir).where("NOT accepted").select("id", "reason_code", F.length("cleaned_text").alias("text_length"))
+
+
+# dates, coverage, gate
+
+@query(f"WITH {V.SQL_ARTICLES} SELECT count(*) AS count, min(published_date) AS min_date, max(published_date) AS max_date, 0::BIGINT AS unknown_dates, 0::BIGINT AS invalid_dates, count(*) FILTER (published_at < {V.LOW}) AS too_old, count(*) FILTER (published_at > {V.HIGH}) AS future_dates FROM articles")
+def date_window_profile(spark, sf_dir):
+    """Dates of all articles against the window."""
+    return reports.date_profile(V.articles(spark, sf_dir), V.as_of())
+
+
+@query(f"WITH {V.SQL_ARTICLES} SELECT strftime(published_at, '%Y-%m') AS month, count(*) AS n FROM (SELECT DISTINCT id, published_at FROM articles) GROUP BY ALL")
+def accepted_months(spark, sf_dir):
+    """Articles by month, the unreadable dates' null month included."""
+    return reports.accepted_months(V.articles(spark, sf_dir))
+
+
+@query(f"WITH {V.SQL_ARTICLES} SELECT strftime(published_at, '%Y-%m') AS month, count(*) AS n FROM (SELECT DISTINCT id, published_at FROM articles WHERE {V.IN_WINDOW}) GROUP BY ALL")
+def month_coverage(spark, sf_dir):
+    """Articles by month inside the window."""
+    return reports.observed_months(V.articles(spark, sf_dir), V.as_of())
+
+
+_EXPECTED = f"expected AS (SELECT strftime(m, '%Y-%m') AS month FROM (SELECT unnest(generate_series(date_trunc('month', {V.LOW}), date_trunc('month', TIMESTAMP '{V.AS_OF}'), INTERVAL 1 MONTH)) AS m))"
+
+
+@query(f"WITH {V.SQL_ARTICLES}, {_EXPECTED} SELECT month FROM expected WHERE month NOT IN (SELECT strftime(published_at, '%Y-%m') FROM articles WHERE {V.IN_WINDOW} AND source_name = 'src0' AND source_category = 'fr')")
+def missing_months(spark, sf_dir):
+    """Expected months without an article of one source and language."""
+    some = V.articles(spark, sf_dir).where("source_name = 'src0' AND source_category = 'fr'")
+    return reports.missing_months(reports.observed_months(some, V.as_of()), V.as_of())
+
+
+@query(f"WITH {_EXPECTED} SELECT month FROM expected")
+def expected_months(spark, sf_dir):
+    """The months that a year's backfill covers."""
+    return reports.expected_months(spark, V.as_of())
+
+
+_STATUS = "CASE WHEN quality = 1 AND toxic = 0 THEN 'crawled' ELSE 'skipped' END"
+
+
+@query(
+    f"""WITH {V.SQL_ARTICLES}, links AS (SELECT doc_id, {_STATUS} AS status FROM labels),
+acc AS (SELECT a.* FROM articles a JOIN links l ON a.id = l.doc_id WHERE l.status = 'crawled'),
+s AS (SELECT count(*) FILTER (status = 'crawled') AS crawled, count(*) FILTER (status = 'skipped') AS skipped FROM links),
+m AS (SELECT count(DISTINCT strftime(published_at, '%Y-%m')) AS months FROM acc WHERE {V.IN_WINDOW}),
+d AS (SELECT count(*) AS n, count(*) FILTER (published_at < {V.LOW}) AS old, count(*) FILTER (published_at > {V.HIGH}) AS ahead FROM acc),
+r AS (SELECT *, coalesce(crawled / nullif(crawled + skipped, 0), 0.0) AS rate FROM s, m, d),
+c AS (SELECT *, list_filter([CASE WHEN months < 12 THEN 'INSUFFICIENT_COVERAGE_MONTHS' END, CASE WHEN n < 10 THEN 'INSUFFICIENT_ACCEPTED_ARTICLES' END, CASE WHEN rate < 0.05 THEN 'LOW_ACCEPTANCE_RATE' END,
+  CASE WHEN old > 0 THEN 'ACCEPTED_DATES_TOO_OLD' END, CASE WHEN ahead > 0 THEN 'ACCEPTED_DATES_IN_FUTURE' END], lambda x: x IS NOT NULL) AS codes FROM r)
+SELECT len(codes) = 0 AS passed, array_to_string(codes, ',') AS failure_codes, n AS accepted_articles, crawled AS accepted_urls, skipped AS rejected_urls, 0::BIGINT AS pending_urls, 0::BIGINT AS failed_urls,
+  crawled + skipped AS reviewed_urls, round(rate, 6) AS acceptance_rate FROM c"""
+)
+def completion_gate(spark, sf_dir):
+    """Whether the job of all labelled documents may complete."""
+    status = F.when((F.col("quality") == 1) & (F.col("toxic") == 0), "crawled").otherwise("skipped")
+    links = V.table(spark, sf_dir, "labels").select("doc_id", status.alias("status"))
+    accepted = V.articles(spark, sf_dir).join(links.where("status = 'crawled'"), F.col("id") == F.col("doc_id"))
+    out = reports.completion(links, accepted, V.as_of())
+    return out.withColumn("failure_codes", F.array_join("failure_codes", ",")).withColumn("acceptance_rate", F.round("acceptance_rate", 6))
+
+
+# URLs
+
+_SCHEME, _HOST = "regexp_extract(url, '^([a-z]+)://', 1)", "regexp_replace(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1), '^www\\.', '')"
+_RAWPATH, _QUERY = "regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1)", "regexp_extract(url, '^[^?#]*\\?([^#]*)', 1)"
+_PATH = f"CASE WHEN {_RAWPATH} = '' THEN '/' ELSE {_RAWPATH} END"
+_TIDY = f"CASE WHEN length({_PATH}) > 1 THEN coalesce(nullif(regexp_replace({_PATH}, '/+$', ''), ''), '/') ELSE '/' END"
+_PARAMS = f"list_filter(string_split({_QUERY}, '&'), lambda p: p <> '')"
+_NAME = "split_part(p, '=', 1)"
+_TRACKING = ", ".join(f"'{t}'" for t in sorted(urls.TRACKING))
+_KEPT = f"list_sort(list_filter({_PARAMS}, lambda p: NOT starts_with({_NAME}, 'utm_') AND {_NAME} NOT IN ({_TRACKING})))"
+_SEARCH = f"CASE WHEN len({_KEPT}) = 0 THEN '' ELSE '?' || array_to_string({_KEPT}, '&') END"
+_CANONICAL = f"{_SCHEME} || '://' || {_HOST} || {_TIDY} || {_SEARCH}"
+_SEGMENTS = f"list_filter(string_split(lower({_PATH}), '/'), lambda s: s <> '')"
+_HAS_S = f"len(list_filter({_PARAMS}, lambda p: {_NAME} = 's')) > 0"
+
+
+def _any(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+_SKIP = f"(list_has_any({_SEGMENTS}, {_any(urls.SKIP_SEGMENTS)}) OR {_HAS_S} OR regexp_matches(lower({_PATH}), '\\.(?:{'|'.join(urls.SKIP_EXTENSIONS)})$'))"
+_P = f"lower(regexp_replace({_PATH}, '/+$', ''))"
+_LISTING = (
+    f"({_P} = '' OR regexp_matches({_P}, '/paged?/\\d+$') OR regexp_matches({_P}, '/(?:sitemap|archive-list|archives?)(?:/|$)') OR regexp_matches({_P}, '(?:^|/)20\\d\\d(?:/\\d\\d?){{0,2}}$') "
+    f"OR regexp_matches({_P}, '^/(?:[a-z][a-z](?:-[a-z][a-z])?/)?(?:{urls._COLLECTIONS})$') OR len(list_filter({_PARAMS}, lambda p: regexp_matches(p, '^paged?=\\d+$'))) > 0)"
+)
+_ARTICLE_SKIP = (
+    f"({_LISTING} OR regexp_matches({_P}, '(?:^|/)20\\d\\d/\\d\\d?/\\d\\d?$') OR list_has_any({_SEGMENTS}, {_any(urls.ARTICLE_SKIP_SEGMENTS)}) OR {_HAS_S} "
+    f"OR regexp_matches({_P}, '\\.(?:{'|'.join(urls.ARTICLE_SKIP_EXTENSIONS)})$'))"
+)
+_BLOCKED = f"(len(list_filter({_any(urls.LEGACY_PARTS)}, lambda w: contains(lower(url), w))) > 0 OR contains(url, '#') OR regexp_matches(lower(url), '\\.(?:{'|'.join(urls.LEGACY_EXTENSIONS)})$'))"
+_ARCHIVE = f"regexp_matches(regexp_replace({_PATH}, '/+$', ''), '^(?:/20\\d\\d(?:/\\d\\d)?)?$')"
+_SLUG = f"coalesce({_SEGMENTS}[-1], '')"
+_HYPHENS = f"(length({_SLUG}) - length(replace({_SLUG}, '-', '')))"
+_DATED = f"regexp_matches({_PATH}, '/20\\d\\d/\\d\\d/\\d\\d/')"
+
+
+def _hint(words) -> str:
+    return f"regexp_matches(lower({_PATH}), '/(?:{'|'.join(words)})/')"
+
+
+_LIKELY = f"({_DATED} OR (len({_SEGMENTS}) >= 2 AND length({_SLUG}) >= 20 AND {_HYPHENS} >= 3) OR ({_hint(urls.HINTS)} AND length({_SLUG}) >= 12))"
+_ULTRA = f"(NOT (contains(lower(url), 'sitemap') OR contains(lower(url), '/feed') OR regexp_matches(lower(url), '\\.(?:rss|xml)$')) AND ({_DATED} OR ({_hint(urls.STRONG_HINTS)} AND length({_SLUG}) >= 20 AND {_HYPHENS} >= 2)))"
+
+
+def _reason_sql(last: str) -> str:
+    return f"SELECT page_id, CASE WHEN {_BLOCKED} THEN '{urls.REASON_BLOCKED}' WHEN {_ARCHIVE} THEN '{urls.REASON_ARCHIVE}' {last} END AS reason FROM pages"
+
+
+@query(f"SELECT page_id, {_CANONICAL} AS canonical_url FROM pages")
+def canonical_urls(spark, sf_dir):
+    """The canonical form of every page's URL."""
+    return _pages(spark, sf_dir).select("page_id", urls.canonical(F.col("url")).alias("canonical_url"))
+
+
+@query(f"WITH c AS (SELECT page_id, {_CANONICAL} AS canonical_url FROM pages) SELECT canonical_url, count(*) AS copies, min(page_id) AS first_id FROM c GROUP BY ALL HAVING count(*) > 1")
+def canonical_dups(spark, sf_dir):
+    """Canonical URLs that several pages have."""
+    c = _pages(spark, sf_dir).select("page_id", urls.canonical(F.col("url")).alias("canonical_url"))
+    return c.groupBy("canonical_url").agg(F.count("*").alias("copies"), F.min("page_id").alias("first_id")).where("copies > 1")
+
+
+@query(f"SELECT {_HOST} AS host, count(*) AS n FROM pages GROUP BY ALL")
+def url_hosts(spark, sf_dir):
+    """Pages by host."""
+    return _pages(spark, sf_dir).groupBy(urls.bare_host(urls.host(F.col("url"))).alias("host")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) AS base_url FROM pages")
+def base_urls(spark, sf_dir):
+    """Scheme and host of every page."""
+    return _pages(spark, sf_dir).select("page_id", urls.base_of(F.lit(None).cast("string"), F.col("url")).alias("base_url"))
+
+
+@query(f"SELECT page_id, ({_HOST} = 'example.com' OR ends_with({_HOST}, '.example.com')) AS same_domain FROM pages")
+def same_domain(spark, sf_dir):
+    """Whether a page lies in a domain."""
+    return _pages(spark, sf_dir).select("page_id", urls.same_domain(F.col("url"), F.lit("https://www.example.com/")).alias("same_domain"))
+
+
+@query(f"SELECT page_id, {_SKIP} AS skipped FROM pages")
+def skip_url(spark, sf_dir):
+    """URLs that discovery passes over."""
+    return _pages(spark, sf_dir).select("page_id", urls.skip(F.col("url")).alias("skipped"))
+
+
+@query(f"SELECT page_id, {_LISTING} AS listing FROM pages")
+def listing_url(spark, sf_dir):
+    """Collection and pagination URLs."""
+    return _pages(spark, sf_dir).select("page_id", urls.listing(F.col("url")).alias("listing"))
+
+
+@query(f"SELECT page_id, {_ARTICLE_SKIP} AS skipped FROM pages")
+def article_url_skip(spark, sf_dir):
+    """URLs that aren't fetched as articles."""
+    return _pages(spark, sf_dir).select("page_id", urls.skip_article(F.col("url")).alias("skipped"))
+
+
+@query(f"SELECT page_id, (regexp_matches(lower({_PATH}), '\\.xml(?:\\.gz)?$') OR contains(lower({_PATH}), 'sitemap')) AS is_sitemap FROM pages")
+def sitemap_url(spark, sf_dir):
+    """URLs that look like sitemaps."""
+    return _pages(spark, sf_dir).select("page_id", urls.sitemap(F.col("url")).alias("is_sitemap"))
+
+
+@query(_reason_sql(""))
+def filter_balanced(spark, sf_dir):
+    """The legacy filter's reason, balanced."""
+    return _pages(spark, sf_dir).select("page_id", urls.filter_reason(F.col("url")).alias("reason"))
+
+
+@query(_reason_sql(f"WHEN NOT {_LIKELY} THEN '{urls.REASON_STRICT}'"))
+def filter_strict(spark, sf_dir):
+    """The legacy filter's reason, strict."""
+    return _pages(spark, sf_dir).select("page_id", urls.filter_reason(F.col("url"), "strict").alias("reason"))
+
+
+@query(_reason_sql(f"WHEN NOT {_ULTRA} THEN '{urls.REASON_ULTRA}'"))
+def filter_ultra(spark, sf_dir):
+    """The legacy filter's reason, ultra."""
+    return _pages(spark, sf_dir).select("page_id", urls.filter_reason(F.col("url"), "ultra").alias("reason"))
+
+
+_DISCOVERED_Q = f"list_filter({_PARAMS}, lambda p: NOT regexp_matches({_NAME}, '(?i)^(?:mc_[ce]id|[gf]b?clid|utm_(?:id|content|term|campaign|medium|source))$'))"
+
+
+@query(f"SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || {_PATH} || CASE WHEN len({_DISCOVERED_Q}) = 0 THEN '' ELSE '?' || array_to_string({_DISCOVERED_Q}, '&') END AS url FROM pages")
+def url_tokens_tracking(spark, sf_dir):
+    """URLs without fragment and campaign parameters."""
+    return _pages(spark, sf_dir).select("page_id", urls.discovered(F.col("url")).alias("url"))
+
+
+# links, titles, sitemaps, templates
+
+_HREFS = "regexp_extract_all(html, '(?is)<a\\s[^>]*?href\\s*=\\s*\"([^\"]*)\"', 1)"
+
+
+@query(f"SELECT page_id, generate_subscripts(h, 1) - 1 AS position, unnest(h) AS href FROM (SELECT page_id, {_HREFS} AS h FROM pages)")
+def page_links(spark, sf_dir):
+    """Links of every page, in order."""
+    return _pages(spark, sf_dir).select("page_id", F.posexplode(listings.anchors("html")).alias("position", "a")).select("page_id", F.col("position").cast("long").alias("position"), F.col("a.href").alias("href"))
+
+
+@query(f"WITH l AS (SELECT page_id, generate_subscripts(h, 1) AS p, unnest(h) AS href FROM (SELECT page_id, {_HREFS} AS h FROM pages)) SELECT href, arg_min(page_id, (page_id, p)) AS page_id FROM l GROUP BY ALL")
+def distinct_links(spark, sf_dir):
+    """Each link where it is first seen."""
+    rows = _pages(spark, sf_dir).select("page_id", F.posexplode(listings.hrefs(F.col("html"))).alias("position", "href"))
+    return identity.first_seen(rows, ["href"], [F.col("page_id"), F.col("position")]).select("href", "page_id")
+
+
+@query(
+    f"""WITH l AS (SELECT page_id, url AS page_url, generate_subscripts(h, 1) - 1 AS position, unnest(h) AS href FROM (SELECT page_id, url, {_HREFS} AS h FROM pages)),
+a AS (SELECT page_id, position, regexp_extract(page_url, '^([a-z]+://[^/?#]+)', 1) || href AS url FROM l WHERE starts_with(href, '/'))
+SELECT page_id, position, CASE WHEN {_LISTING} AND (regexp_matches(url, '(?i)/paged?/\\d+/?(?:[?#].*)?$') OR regexp_matches(url, '(?i)[?&]paged?=\\d+(?:&|$)')) THEN 'pagination' WHEN {_LISTING} THEN 'listing' ELSE 'article' END AS kind FROM a WHERE NOT {_SKIP}"""
+)
+def pagination_links(spark, sf_dir):
+    """Links within a page's site by kind: pagination, listing or article."""
+    return listings.links(_pages(spark, sf_dir), F.col("url")).select("page_id", F.col("position").cast("long").alias("position"), "kind")
+
+
+@query("SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g')) AS title FROM pages")
+def page_title(spark, sf_dir):
+    """Titles of pages."""
+    return _pages(spark, sf_dir).select("page_id", pages.shown_title(F.col("html")).alias("title"))
+
+
+@query()
+def page_text(spark, sf_dir):
+    """Article records of pages: title, text, date, canonical URL, article signal."""
+    found = pages.articles(_pages(spark, sf_dir), F.col("url"), F.col("url"))
+    return found.select("page_id", "title", "text", "published_date", "published_date_source", "canonical_url", "is_article_document")
+
+
+@query("SELECT page_id, regexp_matches(lower(html), '^\\s*<(?:!doctype\\s+html|(?:html|head|body)[\\s>])') AS shell FROM pages")
+def html_shell(spark, sf_dir):
+    """Whether a text is markup."""
+    return _pages(spark, sf_dir).select("page_id", quality.html_shell(F.col("html")).alias("shell"))
+
+
+@query(f"SELECT page_id, CASE WHEN {_ARTICLE_SKIP} THEN 'NON_ARTICLE_URL' ELSE 'MISSING_ARTICLE_DOCUMENT_SIGNAL' END AS code FROM pages")
+def crawl_rejections(spark, sf_dir):
+    """Why each page, fetched well, is turned away before the gate."""
+    rows = pages.articles(_pages(spark, sf_dir), F.col("url"), F.col("url"))
+    ok = [F.lit(200), F.lit("text/html; charset=utf-8"), F.lit(False)]
+    return rows.select("page_id", pages.crawl_rejection(F.col("url"), *ok, F.col("url"), F.col("url"), F.col("is_article_document")).alias("code"))
+
+
+_MONTH = f"generate_series(date_trunc('month', {V.LOW}), date_trunc('month', TIMESTAMP '{V.AS_OF}'), INTERVAL 1 MONTH)"
+
+
+@query(f"SELECT n_name AS name, 'https://' || lower(replace(n_name, ' ', '-')) || '.example.com/' || strftime(m, '%Y') || '/' || strftime(m, '%m') || '/' AS url FROM nation, (SELECT unnest({_MONTH}) AS m)")
+def archive_urls(spark, sf_dir):
+    """Monthly archive pages of a year for a source in each nation."""
+    template = F.concat(F.lit("https://"), F.lower(F.replace("n_name", F.lit(" "), F.lit("-"))), F.lit(".example.com/{yyyy}/{mm}/"))
+    sources = V.table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.array(template).alias("archiveUrlTemplates"))
+    return listings.archive_urls(sources, V.as_of()).select("name", "url")
+
+
+@query(f"SELECT n_name AS name, strftime(m, '%Y-%m') AS month FROM nation, (SELECT unnest({_MONTH}) AS m)")
+def template_cross(spark, sf_dir):
+    """Every nation with every month."""
+    return V.table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")).join(F.broadcast(reports.expected_months(spark, V.as_of())))
+
+
+@query(
+    f"""SELECT n_name AS name, 'https://s.example.com/' || n_nationkey || '?day=' || strftime(d, '%Y-%m-%d') AS url FROM nation, (SELECT unnest(generate_series(CAST({V.LOW} AS DATE)::TIMESTAMP, TIMESTAMP '{V.AS_OF}', INTERVAL 1 DAY)) AS d)
+UNION SELECT n_name, 'https://s.example.com/' || n_nationkey || '?m=' || strftime(m, '%y') || '/' || CAST(month(m) AS VARCHAR) FROM nation, (SELECT unnest({_MONTH}) AS m)"""
+)
+def search_urls(spark, sf_dir):
+    """Daily and monthly search pages."""
+    base = F.concat(F.lit("https://s.example.com/"), F.col("n_nationkey").cast("string"))
+    sources = V.table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.array(F.concat(base, F.lit("?day={date}"))).alias("dailySearchUrlTemplates"), F.array(F.concat(base, F.lit("?m={yy}/{m}"))).alias("searchUrlTemplates"))
+    return listings.search_urls(sources, V.as_of())
+
+
+def _sitemaps(spark, sf_dir):
+    """One sitemap for each hundred pages, dated by the page's number."""
+    day = F.date_format(F.date_add(F.lit("1997-06-01").cast("date"), (F.col("page_id") % 600).cast("int")), "yyyy-MM-dd")
+    entry = F.concat(F.lit("<url><loc>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</loc><lastmod>"), day, F.lit("</lastmod></url>"))
+    rows = _pages(spark, sf_dir).select(F.concat(F.lit("https://example.com/sitemap-"), F.floor(F.col("page_id") / 100).cast("string"), F.lit(".xml")).alias("sitemap_url"), F.struct("page_id", entry.alias("e")).alias("p"))
+    body = F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["e"]), "")
+    return rows.groupBy("sitemap_url").agg(F.concat(F.lit("<urlset>"), body, F.lit("</urlset>")).alias("xml"))
+
+
+@query("SELECT 'https://example.com/sitemap-' || (page_id // 100) || '.xml' AS sitemap_url, url AS loc, strftime(DATE '1997-06-01' + CAST(page_id % 600 AS INTEGER), '%Y-%m-%d') AS lastmod FROM pages")
+def sitemap_entries(spark, sf_dir):
+    """Entries of sitemaps made of the pages."""
+    return sitemaps.entries(_sitemaps(spark, sf_dir)).select("sitemap_url", "loc", "lastmod")
+
+
+@query(f"SELECT count(*) AS n FROM pages WHERE DATE '1997-06-01' + CAST(page_id % 600 AS INTEGER) >= CAST({V.LOW} AS DATE)")
+def sitemap_recent(spark, sf_dir):
+    """Sitemap entries not older than the cutoff."""
+    return sitemaps.entries(_sitemaps(spark, sf_dir)).where(urls.keep_entry(F.col("lastmod"), dates.discovery_cutoff(V.as_of(), 365))).agg(F.count("*").alias("n"))
+
+
+# queue
+
+@query(f"WITH {V.SQL_JOBS}, {V.SQL_SOURCES} SELECT j.id, j.status, s.source_key, s.name AS source_name, s.category AS source_category FROM jobs j JOIN sources s ON j.source_id = s.id")
+def jobs_with_source(spark, sf_dir):
+    """Every job with its source."""
+    return queue.with_source(V.jobs(spark, sf_dir), V.sources(spark, sf_dir)).select("id", "status", "source_key", "source_name", "source_category")
+
+
+@query(f"WITH {V.SQL_JOBS}, {V.SQL_SOURCES} SELECT j.id, s.name AS source_name FROM jobs j JOIN sources s ON j.source_id = s.id WHERE j.status = 'queued' AND s.enabled ORDER BY j.id LIMIT 10")
+def claimable_top(spark, sf_dir):
+    """The ten jobs next in line."""
+    return queue.claimable(V.jobs(spark, sf_dir), V.sources(spark, sf_dir), 10).select("id", "source_name")
+
+
+@query(
+    f"""WITH {V.SQL_JOBS}, {V.SQL_SOURCES}, q AS (SELECT * FROM jobs WHERE status <> 'running'), n AS (SELECT min(q.id) AS id FROM q JOIN sources s ON q.source_id = s.id WHERE q.status = 'queued' AND s.enabled)
+SELECT CASE WHEN q.id = n.id THEN 'running' ELSE q.status END AS status, count(*) AS n, count(*) FILTER (q.id = n.id) AS claimed FROM q, n GROUP BY ALL"""
+)
+def claim_next(spark, sf_dir):
+    """Job statuses after a claim, where nothing ran before."""
+    idle = V.jobs(spark, sf_dir).where("status <> 'running'")
+    for name, kind in (("attempt_count", "int"), ("worker_id", "string"), ("started_at", "timestamp"), ("heartbeat_at", "timestamp"), ("completed_at", "timestamp"), ("error", "string")):
+        idle = idle.withColumn(name, F.lit(0 if kind == "int" else None).cast(kind))
+    after = queue.claim(idle, V.sources(spark, sf_dir), "worker", V.as_of())
+    return after.groupBy("status").agg(F.count("*").alias("n"), F.count_if(F.coalesce(F.col("worker_id") == "worker", F.lit(False))).alias("claimed"))
+
+
+@query(f"WITH {V.SQL_JOBS}, c AS (SELECT status, count(*) AS n FROM jobs GROUP BY ALL) SELECT s.status, coalesce(n, 0)::BIGINT AS n FROM (SELECT unnest(['queued', 'running', 'completed', 'failed', 'cancelled']) AS status) s LEFT JOIN c USING (status) UNION ALL SELECT 'total', count(*) FROM jobs")
+def status_counts_zero_fill(spark, sf_dir):
+    """Jobs by status, with all five, and the total."""
+    return queue.status_counts(V.jobs(spark, sf_dir))
+
+
+@query("SELECT o_orderkey AS id FROM orders o LEFT JOIN (SELECT user_id, max(ts) AS beat FROM events GROUP BY ALL) e ON o.o_orderkey = e.user_id WHERE o_orderstatus = 'O' AND date_trunc('second', coalesce(beat, o_orderdate)) < TIMESTAMP '2024-01-15 00:00:00' - INTERVAL 120 MINUTE")
+def stale_jobs(spark, sf_dir):
+    """Running jobs without a recent sign of life."""
+    beats = V.table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("_job")).agg(F.max("ts").cast("timestamp").alias("heartbeat_at"))
+    held = V.jobs(spark, sf_dir).join(beats, F.col("id") == F.col("_job"), "left").withColumn("started_at", F.lit(None).cast("timestamp"))
+    return queue.stale(held, F.lit("2024-01-15 00:00:00").cast("timestamp")).select("id")
+
+
+@query(f"WITH {V.SQL_JOBS}, {V.SQL_SOURCES} SELECT l.l_orderkey AS source_job_id, l.l_partkey AS url_id, p.p_name AS url, s.name AS job_source_name FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_linestatus = 'O') l JOIN part p ON l.l_partkey = p.p_partkey JOIN jobs j ON l.l_orderkey = j.id JOIN sources s ON j.source_id = s.id")
+def pending_four_way(spark, sf_dir):
+    """Pending URLs of all jobs with their job and source."""
+    links = V.table(spark, sf_dir, "lineitem").where("l_linestatus = 'O'").select(F.col("l_orderkey").alias("source_job_id"), F.col("l_partkey").alias("url_id"), F.lit("pending").alias("status")).distinct()
+    parts = V.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("url"))
+    return store.job_pending(links, parts, V.jobs(spark, sf_dir), V.sources(spark, sf_dir)).select("source_job_id", "url_id", "url", "job_source_name")
+
+
+@query(f"WITH {V.SQL_ARTICLES} SELECT id, url FROM articles WHERE source_name ILIKE '%SRC1%' AND (contains(lower(url), 'src1.') OR contains(lower(url), 'src11.')) ORDER BY id LIMIT 100")
+def pending_for_domains(spark, sf_dir):
+    """The hundred oldest pending URLs of two domains."""
+    rows = V.articles(spark, sf_dir).withColumn("status", F.lit("pending"))
+    return store.pending(rows, 100, "SRC1", domains=["src1.", "SRC11."]).select("id", "url")
+
+
+@query("SELECT event_type AS discovery_method, count(*) AS n FROM events GROUP BY ALL")
+def url_stats(spark, sf_dir):
+    """Rows by method, most first."""
+    return reports.counted(V.table(spark, sf_dir, "events").withColumnRenamed("event_type", "discovery_method"), "discovery_method")
+
+
+@query("SELECT source AS source_name, count(*) AS n FROM documents GROUP BY ALL")
+def article_stats(spark, sf_dir):
+    """Articles by source, most first."""
+    return reports.counted(_docs(spark, sf_dir).withColumnRenamed("source", "source_name"), "source_name")
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (o_orderstatus = 'P') AS pending FROM orders")
+def pending_counts(spark, sf_dir):
+    """All and pending."""
+    return reports.totals(V.table(spark, sf_dir, "orders"), pending=F.col("o_orderstatus") == "P")
+
+
+@query("SELECT sum(l_quantity)::BIGINT AS selected, sum(l_linenumber)::BIGINT AS crawled, arg_max(l_partkey, (l_orderkey, l_linenumber, l_partkey)) AS pending_after FROM lineitem")
+def merged_crawl_stats(spark, sf_dir):
+    """Batch counters added up."""
+    b = V.table(spark, sf_dir, "lineitem").select(F.struct("l_orderkey", "l_linenumber", "l_partkey").alias("batch"), F.col("l_quantity").cast("long").alias("selected"), F.col("l_linenumber").cast("long").alias("crawled"), F.col("l_partkey").alias("pending_after"))
+    return reports.merged_stats(b)
+
+
+# identity
+
+_INPUTS = "i AS (SELECT doc_id + 1000000000 AS input_id, 'u' || doc_id AS url, CASE WHEN doc_id % 3 = 0 THEN 'c' || (doc_id // 6) END AS canonical_url, content_hash FROM hashed), a AS (SELECT doc_id AS id, 'u' || (doc_id + 5) AS url, CASE WHEN doc_id % 2 = 0 THEN 'c' || (doc_id // 4) END AS canonical_url, content_hash FROM hashed)"
+
+
+def _identities(spark, sf_dir):
+    h = _hashed(spark, sf_dir)
+    name = lambda p, c: F.concat(F.lit(p), c.cast("string"))
+    doc = F.col("doc_id")
+    inputs = h.select((doc + 1000000000).alias("input_id"), name("u", doc).alias("url"), F.when(doc % 3 == 0, name("c", F.floor(doc / 6))).alias("canonical_url"), "content_hash")
+    held = h.select(doc.alias("id"), name("u", doc + 5).alias("url"), F.when(doc % 2 == 0, name("c", F.floor(doc / 4))).alias("canonical_url"), "content_hash")
+    return inputs, held
+
+
+@query(
+    f"""WITH {SQL_HASHED}, {_INPUTS}, m AS (SELECT input_id, a.id, 0 AS rank FROM i JOIN a USING (url) UNION ALL SELECT input_id, a.id, 1 FROM i JOIN a USING (canonical_url) UNION ALL SELECT input_id, a.id, 2 FROM i JOIN a USING (content_hash))
+SELECT input_id, id, rank FROM (SELECT *, row_number() OVER (PARTITION BY input_id ORDER BY rank, id) AS n FROM m) WHERE n = 1"""
+)
+def identity_lookup(spark, sf_dir):
+    """Which article each input is."""
+    return identity.lookup(*_identities(spark, sf_dir))
+
+
+@query(f"WITH {SQL_HASHED}, {_INPUTS} SELECT input_id FROM i WHERE EXISTS (SELECT 1 FROM a WHERE a.content_hash = i.content_hash AND a.id <> i.input_id - 1000000000) OR EXISTS (SELECT 1 FROM a WHERE a.canonical_url = i.canonical_url AND a.id <> i.input_id - 1000000000)")
+def upgrade_conflicts(spark, sf_dir):
+    """Inputs whose hash or canonical URL another article has."""
+    inputs, held = _identities(spark, sf_dir)
+    own = inputs.withColumn("own", F.col("input_id") - 1000000000)
+    return identity.duplicates(own, held, own_id="own").select("input_id")
+
+
+@query(f"WITH {SQL_HASHED} SELECT doc_id AS id FROM hashed h WHERE EXISTS (SELECT 1 FROM hashed o WHERE o.content_hash = h.content_hash AND o.doc_id <> h.doc_id)")
+def trigger_dups(spark, sf_dir):
+    """Articles that a duplicate guard would stop."""
+    rows = _hashed(spark, sf_dir).select(F.col("doc_id").alias("id"), "content_hash")
+    return identity.duplicates(rows, rows, "id", keys=("content_hash",), own_id="id").select("id")
+
+
+@query(f"WITH {SQL_HASHED}, {_INPUTS}, b AS (SELECT * FROM a WHERE id < 200) SELECT input_id FROM i WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.content_hash = i.content_hash) AND (i.canonical_url IS NULL OR NOT EXISTS (SELECT 1 FROM b WHERE b.canonical_url = i.canonical_url))")
+def insert_guard(spark, sf_dir):
+    """Inputs that no held article (the first two hundred) stands against."""
+    inputs, held = _identities(spark, sf_dir)
+    return identity.without_matches(inputs, held.where("id < 200"), ("content_hash", "canonical_url")).select("input_id")
+
+
+@query()
+def admitted_articles(spark, sf_dir):
+    """Inputs that one-by-one insertion into an empty store accepts."""
+    from gleaner.functions.session import reliable
+
+    inputs, _ = _identities(reliable(spark), sf_dir)
+    return identity.admitted(inputs, "input_id").select("input_id")
+
+
+# classification
+
+@query(f"WITH {V.SQL_ARTICLES} SELECT id, published_date FROM articles WHERE id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def unclassified(spark, sf_dir):
+    """Articles that a model hasn't classified."""
+    done = V.table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("article_id"), F.lit("m").alias("model"))
+    return classify.unclassified(V.articles(spark, sf_dir), done, "m").select("id", "published_date")
+
+
+@query("SELECT count(*) AS classified, count(*) FILTER (quality = 1 AND toxic = 0) AS relevant, (SELECT count(*) FROM documents WHERE lang = 'en') AS matches, (SELECT count(DISTINCT source) FROM documents WHERE lang = 'en') AS matched_articles FROM labels")
+def classification_stats(spark, sf_dir):
+    """Counts of classifications and matches."""
+    c = V.table(spark, sf_dir, "labels").select((F.col("quality") == 1).alias("is_news_article"), (F.col("toxic") == 0).alias("is_relevant"))
+    return reports.classification_stats(c, _docs(spark, sf_dir).where("lang = 'en'").select(F.col("source").alias("article_id")))
+
+
+def _results(spark, sf_dir):
+    """Labelled documents as replies: keywords by the document's number, some of them unknown."""
+    names = [w for words in classify.TAXONOMY.values() for w in words] + ["Weather"]
+    pick = lambda k: F.get(F.array(*[F.lit(n) for n in names]), ((F.col("doc_id") * k) % len(names)).cast("int"))
+    return V.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("article_id"), (F.col("quality") == 1).alias("is_news_article"), (F.col("toxic") == 0).alias("is_relevant"), F.array(pick(1), pick(7), pick(1)).alias("matched_keywords"), F.concat(F.lit("r"), (F.col("doc_id") % 5).cast("string")).alias("reason"), F.lit("m").alias("model"))
+
+
+_NAMES = [w for words in classify.TAXONOMY.values() for w in words] + ["Weather"]
+_FIRST: dict = {}
+for _c, _words in classify.TAXONOMY.items():
+    for _w in _words:
+        _FIRST.setdefault(_w, _c)
+_LISTED = "[" + ", ".join(f"'{n}'" for n in _NAMES) + "]"
+_KEYWORDS = f"""k AS (SELECT * FROM (VALUES {', '.join(f"('{w}', '{c}')" for w, c in _FIRST.items())}) t(keyword, category)),
+m AS (SELECT DISTINCT doc_id AS article_id, category, keyword, 'r' || (doc_id % 5) AS reason FROM (SELECT doc_id, unnest([{_LISTED}[doc_id % {len(_NAMES)} + 1], {_LISTED}[(doc_id * 7) % {len(_NAMES)} + 1]]) AS keyword FROM labels WHERE quality = 1 AND toxic = 0) JOIN k USING (keyword))"""
+
+
+@query(f"WITH {_KEYWORDS} SELECT article_id, category, keyword, reason FROM m")
+def keyword_category(spark, sf_dir):
+    """Matches of replies, each keyword under its first category."""
+    return classify.matches(_results(spark, sf_dir)).select("article_id", "category", "keyword", "reason")
+
+
+@query(
+    f"""WITH {V.SQL_ARTICLES}, {_KEYWORDS}, c AS (SELECT doc_id AS article_id, 'r' || (doc_id % 5) AS reason FROM labels WHERE quality = 1 AND toxic = 0),
+j AS (SELECT a.id, coalesce(m.category, a.source_category, 'general') AS category, a.source_name, m.keyword, coalesce(m.reason, c.reason) AS reason FROM c JOIN articles a ON a.id = c.article_id LEFT JOIN m ON m.article_id = a.id WHERE published_at >= {V.LOW} AND published_at <= TIMESTAMP '{V.AS_OF}' + INTERVAL 1 DAY)
+SELECT id, category, any_value(source_name) AS source_name, coalesce(string_agg(DISTINCT keyword, ',' ORDER BY keyword), '{classify.GENERAL}') AS matched_keywords, max(reason) AS reason FROM j GROUP BY id, category"""
+)
+def kb_export(spark, sf_dir):
+    """Rows of the knowledge export."""
+    low = V.as_of() - F.make_dt_interval(F.lit(365))
+    rows = classify.knowledge(_results(spark, sf_dir), V.articles(spark, sf_dir), classify.matches(_results(spark, sf_dir)), "m", low, V.as_of() + F.make_dt_interval(F.lit(1)))
+    return rows.select("id", "category", "source_name", "matched_keywords", "reason")
+
+
+@query("SELECT doc_id, regexp_matches(lower(text), '" + "|".join(classify.tokens()) + "') AS hit FROM documents")
+def keyword_prefilter(spark, sf_dir):
+    """Whether a document has any keyword word."""
+    return _docs(spark, sf_dir).select("doc_id", classify.prefilter(F.lit(""), F.col("text")).alias("hit"))
+
+
+@query(f"WITH {V.SQL_ARTICLES} SELECT id, ((length({_FORM.format('title')}) <= 80 AND regexp_matches({_FORM.format('title')}, '{'|'.join(classify.ERROR_TITLES)}')) OR regexp_matches(substring({_FORM.format('text')}, 1, 1000), '{'|'.join(classify.ERROR_TEXTS)}')) AS error_page FROM articles")
+def error_pages(spark, sf_dir):
+    """Articles that are error pages."""
+    return V.articles(spark, sf_dir).select("id", classify.error_page(F.col("title"), F.col("text")).alias("error_page"))
+
+
+@query(f"WITH {V.SQL_ARTICLES} SELECT CASE WHEN published_at >= {V.LOW} AND published_at <= TIMESTAMP '{V.AS_OF}' + INTERVAL 1 DAY THEN 'model' ELSE 'date' END AS outcome, count(*) AS n FROM articles GROUP BY ALL")
+def classifier_outcomes(spark, sf_dir):
+    """What the classifier's cascade decides for each article, without the keyword filter."""
+    out = classify.outcome(V.articles(spark, sf_dir), dates.from_date(V.as_of(), 365), V.as_of())
+    return out.groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query("SELECT c_custkey AS id, CASE WHEN contains(lower(c_mktsegment), 'social') THEN 'social' WHEN contains(lower(c_mktsegment), 'tech') THEN 'technology' WHEN contains(lower(c_mktsegment), 'economic') THEN 'economic' WHEN contains(lower(c_mktsegment), 'environment') THEN 'environmental' WHEN contains(lower(c_mktsegment), 'politic') THEN 'political' END AS category FROM customer")
+def category_fold(spark, sf_dir):
+    """Sources' categories folded."""
+    return V.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), classify.category(F.col("c_mktsegment")).alias("category"))
+
+
+# addresses, keys
+
+_IP = "((doc_id * 2654435761 + 12345) % 4294967296)"
+
+
+@query(
+    f"SELECT doc_id, ({' OR '.join(f'n BETWEEN {addresses._number(b) >> (32 - p) << (32 - p)} AND {(addresses._number(b) >> (32 - p) << (32 - p)) + (1 << (32 - p)) - 1}' for b, p in addresses.IPV4_RANGES)}) AS private FROM (SELECT doc_id, {_IP} AS n FROM documents)"
+)
+def ip_private(spark, sf_dir):
+    """Whether an address made of a document's number is private."""
+    n = (F.col("doc_id") * 2654435761 + 12345) % 4294967296
+    dotted = F.concat_ws(".", *[F.pmod(F.floor(n / (1 << s)), F.lit(256)).cast("string") for s in (24, 16, 8, 0)])
+    return _docs(spark, sf_dir).select("doc_id", addresses.private_host(dotted).alias("private"))
+
+
+@query("SELECT page_id, true AS safe FROM pages")
+def safe_urls(spark, sf_dir):
+    """Whether a page's URL may be fetched."""
+    return _pages(spark, sf_dir).select("page_id", addresses.safe_url(F.col("url")).alias("safe"))
+
+
+@query("SELECT c_custkey AS id, coalesce(nullif(substring(regexp_replace(regexp_replace(lower(trim(c_name)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 48), ''), 'source') || ':' || substring(sha256('{\"name\":\"' || c_name || '\"}'), 1, 24) AS source_key FROM customer")
+def source_keys(spark, sf_dir):
+    """Stable keys of sources that have only a name."""
+    name = F.col("c_name")
+    config = F.to_json(F.struct(name.alias("name")))
+    return V.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.concat(registry.slug_column(name), F.lit(":"), F.substring(F.sha2(config, 256), 1, 24)).alias("source_key"))
+
+
+# streaming
+
+@query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+def events_quality_stream(spark, sf_dir):
+    """Events by type and hour; the same function runs on a stream."""
+    events = V.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = gate.event_windows(events)
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
