@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut, partitions
+from .shared import cut, fresh, partitions
 
 SEED = 17
 ALPHA = 0.7
@@ -68,18 +68,21 @@ def rates(docs: DataFrame, weights: dict | None = None, repeat: float = 1.0, alp
 def mixed(docs: DataFrame, weights: dict | None = None, repeat: float = 1.0, alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
     """The documents, each repeated by its count, in a globally shuffled order, with ``copy`` and ``shuffle_key``."""
     spark = docs.sparkSession
+    source, steps, u, n = (fresh(docs, c) for c in ("_source", "_steps", "_u", "_n"))
     table = cut(rates(docs, weights, repeat, alpha).mapInArrow(_steps, "_source string, _rate double, _steps array<double>"))
-    if table.count() <= BROADCAST_SOURCES:
+    few = table.count() <= BROADCAST_SOURCES
+    table = table.select(F.col("_source").alias(source), F.col("_steps").alias(steps))
+    if few:
         table = F.broadcast(table)
-    u = uniform(F.lit(str(seed)), "doc_id") / F.lit(float(1 << 52))
-    counted = docs.join(table, docs["source"].eqNullSafe(table["_source"])).withColumn("_u", u)
-    counted = counted.withColumn("_n", F.size(F.filter("_steps", lambda c: c <= F.col("_u")))).where("_n > 0")
-    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    kept = [c for c in docs.columns if c.lower() not in ("copy", "shuffle_key")]
+    counted = docs.select(*kept).join(table, F.col("source").eqNullSafe(F.col(source)))
+    counted = counted.withColumn(u, uniform(F.lit(str(seed)), "doc_id") / F.lit(float(1 << 52)))
+    counted = counted.withColumn(n, F.size(F.filter(steps, lambda c: c <= F.col(u)))).where(F.col(n) > 0)
+    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(n))))
     copies = copies.withColumn("shuffle_key", uniform(F.lit(f"{seed}/order"), "doc_id", "copy"))
-    n = partitions(spark)
-    place = F.floor(F.col("shuffle_key") / F.lit(float(1 << 52)) * F.lit(n)).cast("int")
-    out = copies.select(*[F.col(c) for c in docs.columns if c not in ("copy", "shuffle_key")], "copy", "shuffle_key")
-    return out.repartitionById(n, place).sortWithinPartitions("shuffle_key", "doc_id", "copy")
+    size = partitions(spark)
+    place = F.floor(F.col("shuffle_key") / F.lit(float(1 << 52)) * F.lit(size)).cast("int")
+    return copies.select(*kept, "copy", "shuffle_key").repartitionById(size, place).sortWithinPartitions("shuffle_key", "doc_id", "copy")
 
 
 ORACLE = f"""

@@ -47,6 +47,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A name like this one that no column of ``df`` has, in whatever case."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name = f"_{name}"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

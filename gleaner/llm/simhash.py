@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, cut, mix, text_chunks
+from .shared import Words, cut, fresh, mix, text_chunks
 
 BITS = 64
-TAU = 10
+TAU = 12
 CONFIRM = 30
 PARTITIONS = 4
 REGION_ROWS = 1 << 20
@@ -312,5 +312,6 @@ def near_duplicates(docs: DataFrame, tau: int = TAU, confirm: int = CONFIRM, m:
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The documents without those whose group has a lesser doc_id."""
-    drop = near_duplicates(docs, **options).where("doc_id <> group_id").select(F.col("doc_id").alias("_dropped"))
-    return docs.join(drop, docs["doc_id"] == drop["_dropped"], "left_anti")
+    name = fresh(docs, "dropped")
+    drop = near_duplicates(docs, **options).where("doc_id <> group_id").select(F.col("doc_id").alias(name))
+    return docs.join(drop, F.col("doc_id") == F.col(name), "left_anti")

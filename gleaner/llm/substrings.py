@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import PRIME, Words, cut, mix, partitions, text_chunks
+from .shared import PRIME, Words, cut, fresh, mix, partitions, text_chunks
 
 WORDS = 50
 GRAM = 8
@@ -314,17 +314,19 @@ def without_passages(docs: DataFrame, **options) -> DataFrame:
     """
     from pyspark.sql.pandas.functions import arrow_udf
 
-    spans = repeated_passages(docs, **options).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
+    doc, cuts_of, left = (fresh(docs, c) for c in ("_doc", "_spans", "_text"))
+    spans = repeated_passages(docs, **options).groupBy(F.col("doc_id").alias(doc)).agg(F.collect_list(F.struct("start", "end")).alias(cuts_of))
     spans = cut(spans)
     n = spans.count()
-    joined = docs.join(F.broadcast(spans) if n <= BROADCAST_ROWS else spans, docs["doc_id"] == spans["_doc"], "left")
+    joined = docs.join(F.broadcast(spans) if n <= BROADCAST_ROWS else spans, F.col("doc_id") == F.col(doc), "left")
 
     @arrow_udf("string")
     def cut_text(text: pa.Array, cuts: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([text, cuts], names=["text", "cuts"])
         return next(_cut_words([batch])).column(0)
 
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut_text("text", "_spans"))
-    out = joined.withColumn("_text", text).where(F.col("_spans").isNull() | F.col("_text").rlike("[0-9A-Za-z\u0080-\U0010ffff]"))
-    n_chars = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast("long"))
-    return out.select(*[F.col("_text").alias("text") if c == "text" else n_chars.alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns])
+    whole = F.col(cuts_of).isNull()
+    out = joined.withColumn(left, F.when(whole, F.col("text")).otherwise(cut_text("text", cuts_of)))
+    out = out.where(whole | F.col(left).rlike("[0-9A-Za-z\u0080-\U0010ffff]"))
+    n_chars = F.when(whole, F.col("n_chars")).otherwise(F.length(left).cast("long")) if "n_chars" in docs.columns else None
+    return out.select(*[F.col(left).alias("text") if c == "text" else n_chars.alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns])
