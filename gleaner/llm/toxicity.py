@@ -1,14 +1,16 @@
 """Toxicity by a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
 Features are the distinct n-grams of a text's UTF-8 bytes, lower-cased, hashed
-into buckets.  Each is scaled by log((p / |p|) / (q / |q|)), its smoothed share of
-toxic over that of other texts, and a logistic regression with L2 is fitted over
-the scaled features.  It is fitted on at most ``per_class`` labelled texts of
-each class, on the driver; the intercept is corrected to the share of toxic
-labels.  Every text is scored whole.
+into buckets.  Each is scaled by its log-count ratio, the log of the smoothed share
+of toxic texts over that of other texts that have it; features whose ratio is
+less than ``LEAST_RATIO`` either way say nothing and are left out.  A logistic
+regression with L2 is fitted over the scaled features.  It is fitted on at most
+``per_class`` labelled texts of each class, on the driver; the intercept is
+corrected to the share of toxic labels.  Every text is scored whole.
 
 Null and empty texts, and all texts where no label of one class exists, score
-null and are not toxic.
+null and are not toxic.  Texts shorter than the shortest n-gram score null too.
+Repeated rows score alike; other columns are ignored, or carried through.
 """
 
 from __future__ import annotations
@@ -22,11 +24,13 @@ from pyspark.sql.pandas.functions import arrow_udf
 from .labelled import sample
 from .shared import text_chunks
 
-SIZES = (3, 4, 5)
-BUCKET_BITS = 20
+SIZES = (4, 6, 8)
+BUCKET_BITS = 21
 PER_CLASS = 2000
-LEAST_TEXTS = 3
-THRESHOLD = 0.5
+LEAST_TEXTS = 5
+LEAST_RATIO = 1.0
+SMOOTH = 15
+THRESHOLD = 0.2
 
 
 def text_features(column: pa.Array, bits: int = BUCKET_BITS):
@@ -53,7 +57,7 @@ def text_features(column: pa.Array, bits: int = BUCKET_BITS):
                     yield first + k, x[stamp[x] == at]
 
 
-def fit(texts: pa.Array, labels: np.ndarray, share: float, steps: int = 60, decay: float = 1e-3, bits: int = BUCKET_BITS):
+def fit(texts: pa.Array, labels: np.ndarray, share: float, steps: int = 400, decay: float = 1e-2, bits: int = BUCKET_BITS):
     """(weights by bucket, intercept): logistic regression on scaled features."""
     rows, found = [], []
     counts = np.zeros((2, 1 << bits), dtype=np.int32)
@@ -65,8 +69,9 @@ def fit(texts: pa.Array, labels: np.ndarray, share: float, steps: int = 60, deca
     if not 0 < y.sum() < len(y):
         return None
     q, p = counts
-    ratio = np.log((p + 1) / (p + 1).sum()) - np.log((q + 1) / (q + 1).sum())
-    ratio[p + q < LEAST_TEXTS] = 0
+    some, bit = np.array([len(y) - y.sum(), y.sum()], dtype=np.float64), SMOOTH / len(y)
+    ratio = np.log(p / some[1] + bit) - np.log(q / some[0] + bit)
+    ratio[(p + q < LEAST_TEXTS) | (np.abs(ratio) < LEAST_RATIO)] = 0
     known = np.flatnonzero(ratio)
     place = np.full(1 << bits, -1, dtype=np.int32)
     place[known] = np.arange(len(known))
