@@ -13,12 +13,15 @@ word by word.
 Exact repeats of ``words`` words or more are all found: each run of that length
 has the same centre wherever it occurs, and runs are compared by rolling hash.
 Near repeats share a further min-hash beside the centre; they count where
-``agree`` of the words of such a run are equal, place by place.  A group of any
+``agree`` of the words of such a run are equal, place by place, and reach from
+the first to the last equal word, ``words`` words at least.  A group of any
 size costs time in proportion to its rows.
 
 Null and empty texts, and texts of fewer words, have no passages.  Repetition
 within one document does not count, and rows of one doc_id are one document.
-Rows without a doc_id take no part.  Ties go to the least doc_id, whose passage
+Such rows are taken to hold the same text.
+Rows without a doc_id take no part.  An empty table gives none.  Other columns
+are ignored, or carried through.  Ties go to the least doc_id, whose passage
 is the one that stays.
 """
 
@@ -207,13 +210,19 @@ def repeats(key, doc, left, right, function, near, words: int, gram: int, agree:
         x, y = order[pick], first[pick]
         for s in range(0, len(x), 1 << 14):
             a, b = x[s : s + (1 << 14)], y[s : s + (1 << 14)]
+            equal = near[a] == near[b]
             same = np.zeros((len(a), width + 1), dtype=np.int16)
-            np.cumsum(near[a] == near[b], axis=1, out=same[:, 1:])
+            np.cumsum(equal, axis=1, out=same[:, 1:])
             good = (same[:, words:] - same[:, :offsets] >= agree * words) & allowed[a] & allowed[b]
-            found = good.any(axis=1)
-            low_at = good.argmax(axis=1)
-            high_at = offsets - 1 - good[:, ::-1].argmax(axis=1)
-            out.append((a[found], low_at[found], high_at[found] + words, doc[b[found]]))
+            found = np.flatnonzero(good.any(axis=1))
+            good, equal = good[found], equal[found]
+            # the passage begins and ends with words that agree
+            places = np.arange(width)[None, :]
+            equal &= (places >= good.argmax(axis=1)[:, None]) & (places < (offsets - 1 - good[:, ::-1].argmax(axis=1) + words)[:, None])
+            low_at, high_at = equal.argmax(axis=1), width - equal[:, ::-1].argmax(axis=1)
+            enough = high_at - low_at >= words
+            found, low_at, high_at = found[enough], low_at[enough], high_at[enough]
+            out.append((a[found], low_at, high_at, doc[b[found]]))
     return [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 4
 
 
