@@ -42,13 +42,20 @@ class Options:
 CRAWL = Options(min_characters=700, min_words=100)
 
 
-def _signals(c: Column, phrases: list[str]) -> Column:
-    """How many of the phrases occur, each at word bounds."""
+def _has(c: Column, parts: str) -> Column:
+    some = F.lit(False)
+    for part in parts.split("|"):
+        some = some | F.contains(c, F.lit(part))
+    return some
+
+
+def _signals(c: Column, phrases: list[str], stems: str) -> Column:
+    """How many of the phrases occur, each at word bounds.  Every phrase holds one of the stems, which are looked for first."""
     found = [c.rlike(_BEFORE + p + _AFTER).cast("int") for p in phrases]
     total = found[0]
     for f in found[1:]:
         total = total + f
-    return total
+    return F.when(_has(c, stems), total).otherwise(0)
 
 
 def generic_title(title: Column) -> Column:
@@ -67,45 +74,58 @@ def html_shell(raw: Column) -> Column:
     """Markup rather than text."""
     low = F.lower(raw)
     tags = F.regexp_extract_all(low, F.lit(r"</?(?:header|footer|nav|link|meta|style|script|span|div|article|main|body|head|html)(?![A-Za-z0-9_])[^>]*>"), F.lit(0))
-    return low.rlike(r"^\s*<(?:!doctype\s+html|(?:body|head|html)[\s>])") | ((F.size(tags) >= 8) & (F.length(F.array_join(tags, "")) / F.greatest(F.length(raw), F.lit(1)) >= 0.12))
+    many = text.let(tags, lambda t: (F.size(t) >= 8) & (F.length(F.array_join(t, "")) / F.greatest(F.length(raw), F.lit(1)) >= 0.12))
+    return F.contains(raw, F.lit("<")) & (low.rlike(r"^\s*<(?:!doctype\s+html|(?:body|head|html)[\s>])") | many)
 
 
 def code_shell(raw: Column) -> Column:
-    """Script or style sheet rather than text, judged by the first 20,000 characters."""
+    """Script or style sheet rather than text, judged by the first 20,000 characters.
+
+    Every case needs two signs at least, so lines are looked at only where there are as many.
+    """
     s = F.substring(raw, 1, 20_000)
     js = F.regexp_count(s, F.lit(rf"(?i)(?:{_BEFORE}(?:var|let|const|function)\s+[a-z_$][\w$]*\s*[=(]|{_BEFORE}(?:__NEXT_DATA__|webpackJsonp|module\.exports|document|window){_AFTER}|=>\s*[({{]|[}};]\s*[}};])"))
     css = F.regexp_count(s, F.lit(rf"(?im)(?:^|\n)\s*(?:@(?:import|keyframes|font-face|media){_AFTER}|[a-z.#][^\n{{}}]{{0,120}}\{{\s*(?:[a-z-]+\s*:\s*[^;}}]+;)+)"))
-    marks = F.regexp_count(s, F.lit("[;{}]"))
-    lines = F.split(s, "\n")
-    filled = F.size(F.filter(lines, lambda x: text.trim(x) != ""))
-    code = F.size(F.filter(lines, lambda x: x.rlike(rf"(?i)(?:{_BEFORE}(?:function|var|let|const){_AFTER}|=>|[#.][\w-]+\s*\{{|@media{_AFTER}|[;{{}}]\s*\z)")))
-    ratio = code / F.greatest(filled, F.lit(1))
-    density = marks / F.greatest(F.length(s), F.lit(1))
-    return ((js >= 3) & ((ratio >= 0.35) | (density >= 0.012))) | ((css >= 2) & (ratio >= 0.3)) | ((js + css >= 2) & (marks >= 12) & (ratio >= 0.25))
+    signs = F.struct(
+        F.when(_has(s, "=|(|}|;") | _has(F.lower(s), "__next_data__|webpackjsonp|module.exports|document|window"), js).otherwise(0).alias("js"),
+        F.when(_has(s, "{|@"), css).otherwise(0).alias("css"),
+    )
+
+    def judge(n: Column) -> Column:
+        js, css, marks = n["js"], n["css"], text.count_of(s, ";{}")
+        lines = F.split(s, "\n")
+        filled = F.size(F.filter(lines, lambda x: text.trim(x) != ""))
+        code = F.size(F.filter(lines, lambda x: x.rlike(rf"(?i)(?:{_BEFORE}(?:function|var|let|const){_AFTER}|=>|[#.][\w-]+\s*\{{|@media{_AFTER}|[;{{}}]\s*\z)")))
+        ratio = code / F.greatest(filled, F.lit(1))
+        density = marks / F.greatest(F.length(s), F.lit(1))
+        shell = ((js >= 3) & ((ratio >= 0.35) | (density >= 0.012))) | ((css >= 2) & (ratio >= 0.3)) | ((js + css >= 2) & (marks >= 12) & (ratio >= 0.25))
+        return F.when(js + css >= 2, shell).otherwise(False)
+
+    return text.let(signs, judge)
 
 
 def cookie_noise(raw: Column) -> Column:
-    n = _signals(F.lower(raw), COOKIE)
+    n = _signals(F.lower(raw), COOKIE, "cookie|consent")
     return (n >= 2) | ((n >= 1) & (F.length(raw) < 1500))
 
 
 def paywall(raw: Column) -> Column:
-    return _signals(F.lower(raw), PAYWALL) >= 1
+    return _signals(F.lower(raw), PAYWALL, "article|register to|sign in to|log in to|free trial|limit|subscri") >= 1
 
 
 def bot_challenge(raw: Column) -> Column:
     start = F.substring(F.lower(raw), 1, 2500)
     guarded = start.rlike(rf"(?s){_BEFORE}attention required{_AFTER}.*{_BEFORE}cloudflare{_AFTER}") | start.rlike(_BEFORE + "cf-chl-")
-    return guarded | (_signals(start, CHALLENGE) >= 1)
+    return guarded | (_signals(start, CHALLENGE, "bad gateway|unavailable|not found|forbidden|could not be|captcha|javascript|human|browser") >= 1)
 
 
 def navigation_noise(raw: Column, sentences: Column) -> Column:
-    n = _signals(F.lower(raw), NAVIGATION)
+    n = _signals(F.lower(raw), NAVIGATION, "follow us|menu|navigation|terms|privacy|home|skip to")
     return (n >= 3) | ((n >= 2) & ((F.length(raw) < 1500) | (sentences < 4)))
 
 
 def non_prose(clean: Column, m: Column, min_words: int) -> Column:
-    latin, letters = F.regexp_count(clean, F.lit("[A-Za-z]")), F.regexp_count(clean, F.lit(r"\p{L}"))
+    latin, letters = text.count_of(clean, "A-Za-z"), text.count_of(clean, r"\p{L}")
     mostly = (letters > 0) & (latin / F.greatest(letters, F.lit(1)) >= 0.7)
     thin = (m["word_count"] < min_words) | ((m["sentence_count"] < 3) & (m["character_count"] < 2000))
     return (clean == "") | (m["letter_ratio"] < 0.52) | (mostly & thin)
@@ -130,37 +150,32 @@ def validated(candidates: DataFrame, as_of: Column, options: Options = Options()
     """
     out = candidates.withColumn("_raw", text.normalized(F.col("text"), decode)).withColumn("_title", text.normalized(F.col("title"), decode))
     out = out.withColumn("canonical_url", urls.canonical(F.col("url"))).withColumn("published_at", dates.parse_strict(F.col("published_date")))
-    raw, title = F.col("_raw"), F.col("_title")
+    # each step is a projection of its own, computed once
+    out = out.withColumn("cleaned_text", text.barrier(text.without_boilerplate(F.col("_raw"))))
+    out = out.withColumn("metrics", text.barrier(text.metrics(F.col("cleaned_text"))))
+    raw, title, clean, m = (F.col(c) for c in ("_raw", "_title", "cleaned_text", "metrics"))
     low, high = dates.window_bounds(as_of, options.days_back, options.tolerance_minutes)
     missing = F.col("published_date").isNull() | (F.col("published_date") == "")
-
-    def judge(clean: Column, m: Column) -> Column:
-        rules = {
-            "INVALID_URL": F.col("canonical_url").isNull(),
-            "MISSING_PUBLISHED_DATE": missing,
-            "INVALID_PUBLISHED_DATE": ~missing & F.col("published_at").isNull(),
-            "PUBLISHED_DATE_TOO_OLD": F.col("published_at") < low,
-            "PUBLISHED_DATE_IN_FUTURE": F.col("published_at") > high,
-            "MISSING_TITLE": title == "",
-            "GENERIC_OR_ERROR_TITLE": generic_title(title),
-            "HTML_SHELL": html_shell(raw),
-            "JAVASCRIPT_OR_CSS_SHELL": code_shell(raw),
-            "COOKIE_OR_CONSENT_NOISE": cookie_noise(raw),
-            "PAYWALL_OR_LOGIN_WALL": paywall(raw),
-            "BOT_CHALLENGE_OR_ERROR_PAGE": bot_challenge(raw),
-            "NAVIGATION_NOISE": navigation_noise(raw, m["sentence_count"]),
-            "CONTENT_TOO_SHORT": m["character_count"] < options.min_characters,
-            "NON_PROSE_CONTENT": non_prose(clean, m, options.min_words),
-            "REPETITIVE_CONTENT": repetitive(m),
-        }
-        codes = F.array_compact(F.array(*[F.when(rule, code) for code, rule in rules.items()]))
-        return F.struct(clean.alias("clean"), m.alias("metrics"), codes.alias("codes"))
-
-    verdict = text.let(text.without_boilerplate(raw), lambda clean: text.let(text.metrics(clean), lambda m: judge(clean, m)))
-    # rand() keeps the optimizer from copying the whole verdict into every filter on it
-    out = out.withColumn("_v", F.when(F.rand(0) >= 0, verdict))
-    out = out.withColumns({
-        "accepted": F.size("_v.codes") == 0, "rejection_codes": F.col("_v.codes"), "reason_code": F.get("_v.codes", F.lit(0)), "quality_score": score(F.col("_v.codes")),
-        "cleaned_text": F.col("_v.clean"), "metrics": F.col("_v.metrics"), "content_hash": text.content_hash(F.col("_v.clean"), decode),
-    })
-    return out.drop("_raw", "_title", "_v")
+    rules = {
+        "INVALID_URL": F.col("canonical_url").isNull(),
+        "MISSING_PUBLISHED_DATE": missing,
+        "INVALID_PUBLISHED_DATE": ~missing & F.col("published_at").isNull(),
+        "PUBLISHED_DATE_TOO_OLD": F.col("published_at") < low,
+        "PUBLISHED_DATE_IN_FUTURE": F.col("published_at") > high,
+        "MISSING_TITLE": title == "",
+        "GENERIC_OR_ERROR_TITLE": generic_title(title),
+        "HTML_SHELL": html_shell(raw),
+        "JAVASCRIPT_OR_CSS_SHELL": code_shell(raw),
+        "COOKIE_OR_CONSENT_NOISE": cookie_noise(raw),
+        "PAYWALL_OR_LOGIN_WALL": paywall(raw),
+        "BOT_CHALLENGE_OR_ERROR_PAGE": bot_challenge(raw),
+        "NAVIGATION_NOISE": navigation_noise(raw, m["sentence_count"]),
+        "CONTENT_TOO_SHORT": m["character_count"] < options.min_characters,
+        "NON_PROSE_CONTENT": non_prose(clean, m, options.min_words),
+        "REPETITIVE_CONTENT": repetitive(m),
+    }
+    codes = F.array_compact(F.array(*[F.when(rule, code) for code, rule in rules.items()]))
+    out = out.withColumn("rejection_codes", text.barrier(codes))
+    found = F.col("rejection_codes")
+    out = out.withColumns({"accepted": F.size(found) == 0, "reason_code": F.get(found, F.lit(0)), "quality_score": score(found), "content_hash": text.content_hash(clean, decode)})
+    return out.drop("_raw", "_title")

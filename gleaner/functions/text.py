@@ -55,6 +55,11 @@ def compatible(column: pa.Array) -> pa.Array:
     return _texts(column, lambda t: unicodedata.normalize("NFKC", decode_entities(t)))
 
 
+def barrier(value: Column) -> Column:
+    """The value, in a projection that the optimizer neither copies into filters nor merges with others."""
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def let(value: Column, use) -> Column:
     """``use(value)`` with the value computed once, also where it holds a Python function."""
     return F.get(F.transform(F.array(value), use), 0)
@@ -69,6 +74,11 @@ def collapse(c: Column) -> Column:
     return F.regexp_replace(c, rf"{SPACE}+", " ")
 
 
+def count_of(c: Column, kinds: str) -> Column:
+    """How many characters of these kinds a text has, without a list of them."""
+    return F.length(F.regexp_replace(c, f"[^{kinds}]+", ""))
+
+
 def normalized(c: Column, decode: bool = True) -> Column:
     """White-space normal form; null stands for an empty text."""
     c = F.coalesce(c, F.lit(""))
@@ -95,9 +105,10 @@ def without_boilerplate(c: Column) -> Column:
     A line goes when the last line before it that is no label compares equal; a blank
     line in between saves it.
     """
-    lines = F.filter(F.split(c, "\n"), lambda x: ~_comparable(x).isin(*BOILERPLATE))
-    kept = let(lines, lambda a: F.filter(a, lambda x, i: (i == 0) | (_comparable(x) == "") | (_comparable(x) != _comparable(F.get(a, i - 1)))))
-    return trim(F.regexp_replace(F.array_join(kept, "\n"), r"\n{3,}", "\n\n"))
+    lines = F.transform(F.split(c, "\n"), lambda x: F.struct(x.alias("line"), _comparable(x).alias("form")))
+    lines = F.filter(lines, lambda x: ~x["form"].isin(*BOILERPLATE))
+    kept = let(lines, lambda a: F.filter(a, lambda x, i: (i == 0) | (x["form"] == "") | (x["form"] != F.get(a, i - 1)["form"])))
+    return trim(F.regexp_replace(F.array_join(F.transform(kept, lambda x: x["line"]), "\n"), r"\n{3,}", "\n\n"))
 
 
 def cleaned(c: Column, decode: bool = True) -> Column:
@@ -120,7 +131,8 @@ def content_hash(c: Column, decode: bool = True) -> Column:
 
 def repeated_line_ratio(c: Column) -> Column:
     """Share of characters in lines (of 20 or more) that came before; 0 under three such lines."""
-    lines = F.filter(F.transform(F.split(c, "\n"), lambda x: trim(collapse(F.lower(x)))), lambda x: F.length(x) >= 20)
+    even = F.regexp_replace(F.lower(c), SPACE[:-1] + r"&&[^\n]]+", " ")
+    lines = F.filter(F.transform(F.split(even, "\n"), lambda x: F.trim(x)), lambda x: F.length(x) >= 20)
 
     def size(a: Column) -> Column:
         return F.aggregate(a, F.lit(0), lambda n, x: n + F.length(x))
@@ -132,7 +144,7 @@ def metrics(c: Column) -> Column:
     """Struct of the six text metrics."""
     words = F.regexp_count(c, F.lit(TOKEN))
     distinct = F.size(F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(TOKEN), F.lit(0))))
-    letters = F.regexp_count(c, F.lit(r"[\p{L}\p{N}]"))
+    letters = count_of(c, r"\p{L}\p{N}")
     return F.struct(
         F.length(c).alias("character_count"),
         words.alias("word_count"),
