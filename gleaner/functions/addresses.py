@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
+from pyspark.sql.types import BooleanType
 
 from . import urls
 
@@ -48,7 +49,7 @@ def non_public_ipv4(number: Column) -> Column:
     return F.coalesce(hit, F.lit(True))
 
 
-@arrow_udf("boolean")
+@arrow_udf(BooleanType())
 def non_public_ipv6(column: pa.Array) -> pa.Array:
     """Whether an IPv6 address isn't public: null for other strings; mapped IPv4 addresses are judged as those."""
     import ipaddress

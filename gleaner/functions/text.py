@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
+from pyspark.sql.types import StringType
 
 SPACE = r"[\s   -     　﻿]"
 TOKEN = r"[\p{L}\p{N}]+"
@@ -39,7 +40,7 @@ def _texts(column: pa.Array, change) -> pa.Array:
     return pa.array([None if t is None else change(t) for t in column.to_pylist()], pa.string())
 
 
-@arrow_udf("string")
+@arrow_udf(StringType())
 def decoded(column: pa.Array) -> pa.Array:
     """Entities decoded, then normal form C."""
     import unicodedata
@@ -47,7 +48,7 @@ def decoded(column: pa.Array) -> pa.Array:
     return _texts(column, lambda t: unicodedata.normalize("NFC", decode_entities(t)))
 
 
-@arrow_udf("string")
+@arrow_udf(StringType())
 def compatible(column: pa.Array) -> pa.Array:
     """Entities decoded, then normal form KC."""
     import unicodedata

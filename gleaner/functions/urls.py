@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
+from pyspark.sql.types import StringType
 
 _URL = r"(?i)^([a-z][a-z0-9+.\-]*)://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:@\s\[\]]+)(?::(\d*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z"
 
@@ -98,7 +99,7 @@ def canonical(url: Column) -> Column:
     return F.when(valid(url) & _web(url), out)
 
 
-@arrow_udf("string")
+@arrow_udf(StringType())
 def resolved(url: pa.Array, base: pa.Array) -> pa.Array:
     """A link resolved against its page's address; null where that fails."""
     from urllib.parse import urljoin

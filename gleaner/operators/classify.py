@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
+from pyspark.sql.pandas.types import from_arrow_type
 
 from gleaner.functions import dates, text
 
@@ -70,10 +71,10 @@ def error_page(title: Column, body: Column) -> Column:
     return ((F.length(t) <= 80) & t.rlike("|".join(ERROR_TITLES))) | start.rlike("|".join(ERROR_TEXTS))
 
 
-REPLY = "is_news_article boolean, is_relevant boolean, matched_keywords array<string>, reason string"
+REPLY = pa.struct([("is_news_article", pa.bool_()), ("is_relevant", pa.bool_()), ("matched_keywords", pa.list_(pa.string())), ("reason", pa.string())])
 
 
-@arrow_udf(REPLY)
+@arrow_udf(from_arrow_type(REPLY))
 def parsed_reply(column: pa.Array) -> pa.Array:
     """A model's reply: its JSON, else the JSON between the outermost braces, else a reason why not."""
 
@@ -96,8 +97,7 @@ def parsed_reply(column: pa.Array) -> pa.Array:
             except ValueError:
                 return normal({}) | {"reason": "Failed to parse JSON from LLM response."}
 
-    kind = pa.struct([("is_news_article", pa.bool_()), ("is_relevant", pa.bool_()), ("matched_keywords", pa.list_(pa.string())), ("reason", pa.string())])
-    return pa.array([read(s) for s in column.to_pylist()], kind)
+    return pa.array([read(s) for s in column.to_pylist()], REPLY)
 
 
 def unclassified(articles: DataFrame, classifications: DataFrame, model: str, limit: int | None = None, source_like: str | None = None) -> DataFrame:

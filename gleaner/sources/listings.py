@@ -6,14 +6,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
+from pyspark.sql.pandas.types import from_arrow_type
 
 from gleaner.functions import dates, urls
 
 MAX_REQUESTS, MAX_PAGINATION = 500, 10
 _ANCHOR = r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"'
+#: Types that arrive as text would need a session when the module is imported.
+ANCHORS = pa.list_(pa.struct([("href", pa.string()), ("rel", pa.string()), ("text", pa.string())]))
 
 
-@arrow_udf("array<struct<href:string,rel:string,text:string>>")
+@arrow_udf(from_arrow_type(ANCHORS))
 def anchors(column: pa.Array) -> pa.Array:
     """Links of an HTML page with their rel and text, in order."""
     from html.parser import HTMLParser
@@ -52,8 +55,7 @@ def anchors(column: pa.Array) -> pa.Array:
         parser.close_anchor()
         return parser.found
 
-    kind = pa.list_(pa.struct([("href", pa.string()), ("rel", pa.string()), ("text", pa.string())]))
-    return pa.array([links(h) for h in column.to_pylist()], kind)
+    return pa.array([links(h) for h in column.to_pylist()], ANCHORS)
 
 
 def hrefs(html: Column) -> Column:

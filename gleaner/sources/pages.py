@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
+from pyspark.sql.pandas.types import from_arrow_type
 
 from gleaner.functions import dates, text, urls
 
@@ -122,7 +123,7 @@ class _Page(HTMLParser):
         return next((m.get("content", "").strip() or None for m in self.metas if m.get(kind) == name), None)
 
 
-RECORD = "title string, text string, canonical_raw string, date_candidates array<struct<source:string,value:string>>, is_article_document boolean"
+RECORD = pa.struct([("title", pa.string()), ("text", pa.string()), ("canonical_raw", pa.string()), ("date_candidates", pa.list_(pa.struct([("source", pa.string()), ("value", pa.string())]))), ("is_article_document", pa.bool_())])
 
 
 def record(html: str) -> dict:
@@ -145,10 +146,9 @@ def record(html: str) -> dict:
     }
 
 
-@arrow_udf(RECORD)
+@arrow_udf(from_arrow_type(RECORD))
 def page_record(column: pa.Array) -> pa.Array:
-    kind = pa.struct([("title", pa.string()), ("text", pa.string()), ("canonical_raw", pa.string()), ("date_candidates", pa.list_(pa.struct([("source", pa.string()), ("value", pa.string())]))), ("is_article_document", pa.bool_())])
-    return pa.array([record(h or "") for h in column.to_pylist()], kind)
+    return pa.array([record(h or "") for h in column.to_pylist()], RECORD)
 
 
 def articles(pages: DataFrame, final_url: Column, requested_url: Column) -> DataFrame:

@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
+from pyspark.sql.types import StringType
 
 from gleaner.functions import urls
 
@@ -13,7 +14,7 @@ _PREFIX = r"(?:[A-Za-z_][\w.\-]*:)?"
 MAX_FILES, MAX_DEPTH, MAX_URLS = 1_000, 8, 50_000
 
 
-@arrow_udf("string")
+@arrow_udf(StringType())
 def xml_text(column: pa.Array) -> pa.Array:
     """An element's text: CDATA taken off, the five XML entities and numeric references decoded."""
     import re
