@@ -30,11 +30,11 @@ def query(sql: str | None = None):
 
 
 def _docs(spark, sf_dir):
-    return V.table(spark, sf_dir, "documents")
+    return V.spread(V.table(spark, sf_dir, "documents"))
 
 
 def _pages(spark, sf_dir):
-    return V.table(spark, sf_dir, "pages")
+    return V.spread(V.table(spark, sf_dir, "pages"))
 
 
 def _hashed(spark, sf_dir):

@@ -21,9 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores where the scan has fewer splits than there are cores (a small table in one row group).
+
+    A large table has more splits and isn't shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, url, source_name, source_category, title, published_date, published_at, text)."""
-    docs, orders = table(spark, sf_dir, "documents"), table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    docs, orders = spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     at = F.col("o_orderdate").cast("timestamp")
     return docs.join(orders, F.col("doc_id") == F.col("o_orderkey")).select(
         F.col("doc_id").alias("id"),

@@ -83,9 +83,11 @@ def walk(start: DataFrame, fetch, base: Column, max_requests: int = MAX_REQUESTS
     """(url) of articles linked from listing pages (url), pagination followed.
 
     ``fetch`` turns a frontier (url) into pages (page_id, url, html).  A page with more new
-    pagination links than the limit, or more pages than may be requested, is an error.
+    pagination links than the limit, more pages than may be requested, or a page that is a
+    challenge by its title, is an error.
     """
     from gleaner.operators.identity import first_seen
+    from gleaner.sources.pages import shown_title
 
     begin = start.select(urls.discovered(F.col("url")).alias("url"))
     frontier = begin.where(F.col("url").isNotNull() & urls.same_domain(F.col("url"), base)).distinct().checkpoint()
@@ -94,7 +96,11 @@ def walk(start: DataFrame, fetch, base: Column, max_requests: int = MAX_REQUESTS
         visited = frontier if visited is None else visited.unionByName(frontier).checkpoint()
         if visited.count() > max_requests:
             raise ValueError("listing pagination hit its safety cap; raise MAX_LISTING_REQUESTS")
-        found = links(fetch(frontier), base).checkpoint()
+        got = fetch(frontier).checkpoint()
+        challenged = got.where(challenge_title(shown_title(F.col("html")))).select("url").first()
+        if challenged:
+            raise ValueError(f"Listing returned a challenge page: {challenged.url}")
+        found = links(got, base).checkpoint()
         here = found.where("kind = 'article'").select("url", "page_id", "position")
         articles = here if articles is None else articles.unionByName(here)
         more = found.where("kind = 'pagination'").join(visited, "url", "left_anti")
