@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def reliable(spark: SparkSession) -> SparkSession:
@@ -13,3 +13,9 @@ def reliable(spark: SparkSession) -> SparkSession:
     if not context.getCheckpointDir():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
     return spark
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Runs a plan once and cuts its lineage through reliable storage."""
+    reliable(df.sparkSession)
+    return df.checkpoint()

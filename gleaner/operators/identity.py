@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gleaner.functions import session
+
 KEYS = ("url", "canonical_url", "content_hash")
 
 
@@ -65,7 +67,7 @@ def admitted(inputs: DataFrame, order: str, existing: DataFrame | None = None, k
     that this isn't one row for each connected component.  ``cut`` ends a plan's lineage
     between rounds (a reliable checkpoint by default).
     """
-    cut = cut or (lambda df: df.checkpoint())
+    cut = cut or session.cut
     left = inputs if existing is None else without_matches(inputs, existing, keys)
     left = cut(left)
     accepted = []

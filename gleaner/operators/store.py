@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions import dates
+from gleaner.functions.session import cut
 from gleaner.operators.identity import duplicates, first_seen, without_matches
 from gleaner.operators.queue import STATUSES
 
@@ -69,7 +70,7 @@ def numbered(rows: DataFrame, held: DataFrame, order: list[Column]) -> DataFrame
     from pyspark.sql import Window as W
 
     last = held.agg(F.max("id")).first()[0] or 0
-    ranged = rows.drop("id").repartitionByRange(*order).withColumn("_p", F.spark_partition_id()).checkpoint()
+    ranged = cut(rows.drop("id").repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
     local = F.row_number().over(W.partitionBy("_p").orderBy(*order))
     sizes = {r._p: r.n for r in ranged.groupBy("_p").agg(F.count("*").alias("n")).collect()}
     before, total = [], 0
@@ -91,7 +92,9 @@ def new_links(found: DataFrame, known: DataFrame, links: DataFrame) -> DataFrame
     """(source_job_id, url_id) pairs of found URLs with their job that aren't linked yet, known URLs by url, else canonical URL."""
     from gleaner.operators.identity import lookup
 
-    ids = lookup(found.withColumn("input_id", F.monotonically_increasing_id()).checkpoint(), known, "input_id", ("url", "canonical_url")) if "input_id" not in found.columns else lookup(found, known, "input_id", ("url", "canonical_url"))
+    if "input_id" not in found.columns:
+        found = cut(found.withColumn("input_id", F.monotonically_increasing_id()))
+    ids = lookup(found, known, "input_id", ("url", "canonical_url"))
     pairs = found.join(ids, "input_id").select("source_job_id", F.col("id").alias("url_id")).where("source_job_id IS NOT NULL").distinct()
     return pairs.join(links.select("source_job_id", "url_id"), ["source_job_id", "url_id"], "left_anti")
 

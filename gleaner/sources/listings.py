@@ -9,6 +9,7 @@ from pyspark.sql.pandas.functions import arrow_udf
 from pyspark.sql.pandas.types import from_arrow_type
 
 from gleaner.functions import dates, urls
+from gleaner.functions.session import cut
 
 MAX_REQUESTS, MAX_PAGINATION = 500, 10
 _ANCHOR = r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"'
@@ -90,24 +91,24 @@ def walk(start: DataFrame, fetch, base: Column, max_requests: int = MAX_REQUESTS
     from gleaner.sources.pages import shown_title
 
     begin = start.select(urls.discovered(F.col("url")).alias("url"))
-    frontier = begin.where(F.col("url").isNotNull() & urls.same_domain(F.col("url"), base)).distinct().checkpoint()
+    frontier = cut(begin.where(F.col("url").isNotNull() & urls.same_domain(F.col("url"), base)).distinct())
     visited, articles = None, None
     while not frontier.isEmpty():
-        visited = frontier if visited is None else visited.unionByName(frontier).checkpoint()
+        visited = frontier if visited is None else cut(visited.unionByName(frontier))
         if visited.count() > max_requests:
             raise ValueError("listing pagination hit its safety cap; raise MAX_LISTING_REQUESTS")
-        got = fetch(frontier).checkpoint()
+        got = cut(fetch(frontier))
         challenged = got.where(challenge_title(shown_title(F.col("html")))).select("url").first()
         if challenged:
             raise ValueError(f"Listing returned a challenge page: {challenged.url}")
-        found = links(got, base).checkpoint()
+        found = cut(links(got, base))
         here = found.where("kind = 'article'").select("url", "page_id", "position")
         articles = here if articles is None else articles.unionByName(here)
         more = found.where("kind = 'pagination'").join(visited, "url", "left_anti")
         more = first_seen(more, ["url"], [F.col("page_id"), F.col("position")])
         if not more.groupBy("page_id").count().where(F.col("count") > max_pagination).isEmpty():
             raise ValueError("listing pagination hit its safety cap; raise MAX_PAGINATION_LINKS_PER_PAGE")
-        frontier = more.select("url").checkpoint()
+        frontier = cut(more.select("url"))
     if articles is None:
         return start.select("url").limit(0)
     return articles.select("url").distinct()

@@ -9,6 +9,7 @@ from pyspark.sql.pandas.functions import arrow_udf
 from pyspark.sql.types import StringType
 
 from gleaner.functions import urls
+from gleaner.functions.session import cut
 
 _PREFIX = r"(?:[A-Za-z_][\w.\-]*:)?"
 MAX_FILES, MAX_DEPTH, MAX_URLS = 1_000, 8, 50_000
@@ -75,7 +76,7 @@ def walk(start: DataFrame, fetch, base: Column, cutoff: Column, max_files: int =
     ``fetch`` turns a frontier (sitemap_url) into documents (sitemap_url, xml).  Levels
     are walked one after another, each as one job.  Reaching a limit is an error.
     """
-    frontier, visited, pages = start.select("sitemap_url").distinct().checkpoint(), None, None
+    frontier, visited, pages = cut(start.select("sitemap_url").distinct()), None, None
     for depth in range(max_depth + 2):
         if frontier.isEmpty():
             break
@@ -84,11 +85,11 @@ def walk(start: DataFrame, fetch, base: Column, cutoff: Column, max_files: int =
         visited = frontier if visited is None else visited.unionByName(frontier)
         if visited.count() > max_files:
             raise ValueError(f"reached MAX_SITEMAP_FILES={max_files}; sitemap index is too large")
-        found = routed(entries(fetch(frontier)), base, cutoff).withColumn("depth", F.lit(depth)).checkpoint()
+        found = cut(routed(entries(fetch(frontier)), base, cutoff).withColumn("depth", F.lit(depth)))
         here = found.where("NOT is_sitemap").select("url", "depth", "sitemap_url", "position")
         pages = here if pages is None else pages.unionByName(here)
         below = found.where("is_sitemap").select(F.col("url").alias("sitemap_url")).distinct()
-        frontier = below.join(visited, "sitemap_url", "left_anti").checkpoint()
+        frontier = cut(below.join(visited, "sitemap_url", "left_anti"))
     if pages is None:
         return start.sparkSession.createDataFrame([], "url string, depth int, sitemap_url string, position int")
     first = pages.groupBy("url").agg(F.min(F.struct("depth", "sitemap_url", "position")).alias("f")).select("url", "f.*")

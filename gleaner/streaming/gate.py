@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.quality import Options, validated
+from gleaner.functions.session import cut
 from gleaner.operators.identity import admitted
 
 EVENTS = "doc_id long, url string, title string, published_date string, text string"
@@ -13,7 +14,7 @@ EVENTS = "doc_id long, url string, title string, published_date string, text str
 
 def split(candidates: DataFrame, as_of: Column, options: Options = Options(), held: DataFrame | None = None, order: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(accepted, quarantined): duplicates of held or earlier accepted rows are quarantined as DUPLICATE."""
-    judged = validated(candidates, as_of, options).checkpoint()
+    judged = cut(validated(candidates, as_of, options))
     good = judged.where("accepted")
     unique = admitted(good, order, existing=held)
     double = good.join(unique.select(order), order, "left_anti").withColumn("reason_code", F.lit("DUPLICATE")).withColumn("accepted", F.lit(False))

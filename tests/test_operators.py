@@ -166,6 +166,10 @@ def test_store(spark, tmp_path):
     for batch in (["b", "a"], ["c"]):
         s.append("urls", spark.createDataFrame([(x,) for x in batch], "url string"), [F.col("url")])
     assert [(r.id, r.url) for r in s.read("urls").orderBy("id").collect()] == [(1, "a"), (2, "b"), (3, "c")]
+    found = spark.createDataFrame([("a", None, 7), ("x", None, 7), ("b", None, None), ("c", None, 8)], "url string, canonical_url string, source_job_id long")
+    links = spark.createDataFrame([(8, 3)], "source_job_id long, url_id long")
+    assert [tuple(r) for r in store.new_links(found, s.read("urls"), links).collect()] == [(7, 1)]
+    assert [r.url for r in store.new_urls(found, s.read("urls"), [F.col("url")]).collect()] == ["x"]
     assert store.pending(s.read("urls").withColumn("status", F.lit("pending")), 10, domains=[]).count() == 0
     bad = spark.createDataFrame([(1, 1, "odd", 365), (2, 1, "queued", 180), (3, 1, "running", 365)], "id long, source_id long, status string, requested_days_back int")
     with pytest.raises(ValueError, match="status .*days_back"):
