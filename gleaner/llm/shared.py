@@ -80,19 +80,23 @@ def text_chunks(column: pa.Array, lower: bool = True, limit: int = CHUNK_BYTES):
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
-    if lower:
-        column = pc.utf8_lower(column)
+    column = column.cast(pa.large_string())
     if not len(column):
         return
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
-    raw = column.buffers()[2]
-    data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, np.uint8)
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     start = 0
-    while start < len(column):
-        end = int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1
+    while start < len(column):  # only one run of rows is held in another form at a time
+        end = int(np.searchsorted(ends, ends[start] + limit, side="right")) - 1
         end = min(max(end, start + 1), len(column))
-        yield start, data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start]
+        part = column.slice(start, end - start)
+        if part.null_count:
+            part = part.fill_null("")
+        if lower:
+            part = pc.utf8_lower(part)
+        offsets = np.frombuffer(part.buffers()[1], dtype=np.int64)[part.offset : part.offset + len(part) + 1]
+        raw = part.buffers()[2]
+        data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, np.uint8)
+        yield start, data[offsets[0] : offsets[-1]], offsets - offsets[0]
         start = end
 
 

@@ -40,6 +40,7 @@ GRAM = 8
 FUNCTIONS = 2
 AGREE = 0.9
 BROADCAST_ROWS = 200_000
+BLOCK = 1 << 12
 
 
 def gram_hashes(w: Words, gram: int):
@@ -172,14 +173,17 @@ def repeats(key, doc, left, right, function, near, words: int, gram: int, agree:
     # exact: equal runs at the same place before the centre
     own = np.flatnonzero(function == 0)
     if len(own):
+        run = np.empty((len(own), offsets), dtype=np.uint64)
         with np.errstate(over="ignore"):
             power = np.full(width + 1, PRIME, dtype=np.uint64)
             power[0] = 1
             power = np.cumprod(power)
-            total = np.zeros((len(own), width + 1), dtype=np.uint64)
-            np.cumsum((near[own].astype(np.uint64) + np.uint64(1)) * power[:width], axis=1, out=total[:, 1:])
-            run = (total[:, words:] - total[:, :offsets]) * power[width - np.arange(offsets)]
-            run = mix(run) + key[own].view(np.uint64)[:, None] + np.arange(offsets, dtype=np.uint64)[None, :]
+            for s in range(0, len(own), BLOCK):
+                at = own[s : s + BLOCK]
+                total = np.zeros((len(at), width + 1), dtype=np.uint64)
+                np.cumsum((near[at].astype(np.uint64) + np.uint64(1)) * power[:width], axis=1, out=total[:, 1:])
+                sums = (total[:, words:] - total[:, :offsets]) * power[width - np.arange(offsets)]
+                run[s : s + BLOCK] = mix(sums) + key[at].view(np.uint64)[:, None] + np.arange(offsets, dtype=np.uint64)[None, :]
         i, o = np.nonzero(allowed[own])
         value = run[i, o]
         order = np.argsort(value, kind="stable")
@@ -190,26 +194,33 @@ def repeats(key, doc, left, right, function, near, words: int, gram: int, agree:
         out.append((row[again], o[again], o[again] + words, doc[first[again]]))
 
     # near: rows that share a min-hash beside the centre with the first such row
-    with np.errstate(over="ignore"):
-        n = width - gram + 1
-        grams = np.zeros((len(key), n), dtype=np.uint64)
-        for k in range(gram):
-            grams = grams * np.uint64(PRIME) + near[:, k : k + n] + np.uint64(1)
-        grams = mix(grams)
     reach = side // 2 + gram // 2
+
+    def least(at: np.ndarray, low: int, high: int) -> np.ndarray:
+        """The min-hash over the grams from ``low`` to ``high`` of the context."""
+        out = np.empty(len(at), dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            for s in range(0, len(at), BLOCK):
+                part = near[at[s : s + BLOCK], low : high + gram]
+                grams = np.zeros((len(part), high - low + 1), dtype=np.uint64)
+                for k in range(gram):
+                    grams = grams * np.uint64(PRIME) + part[:, k : k + grams.shape[1]] + np.uint64(1)
+                out[s : s + BLOCK] = mix(grams).min(axis=1)
+        return out
+
     for low, high, has in ((side - reach, side - gram, left >= reach), (side + gram, side + gram + reach - gram, right >= reach)):
         at = np.flatnonzero(has)
         if high < low or not len(at):
             continue
-        beside = grams[at, low : high + 1].min(axis=1)
+        beside = least(at, low, high)
         order = at[np.lexsort((at, beside, key[at]))]
         sign = np.empty(len(key), np.uint64)
         sign[at] = beside
         first = order[_starts_of(key[order], sign[order])]
         pick = doc[order] > doc[first]
         x, y = order[pick], first[pick]
-        for s in range(0, len(x), 1 << 14):
-            a, b = x[s : s + (1 << 14)], y[s : s + (1 << 14)]
+        for s in range(0, len(x), BLOCK):
+            a, b = x[s : s + BLOCK], y[s : s + BLOCK]
             equal = near[a] == near[b]
             same = np.zeros((len(a), width + 1), dtype=np.int16)
             np.cumsum(equal, axis=1, out=same[:, 1:])
@@ -252,7 +263,7 @@ def _verify(contexts: DataFrame, words: int, gram: int, agree: float) -> DataFra
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            if held.num_rows < 1 << 14:
+            if held.num_rows < 2 * BLOCK:
                 continue
             keys = held.column(0).to_numpy()
             cut_at = int(np.searchsorted(keys, keys[-1]))
