@@ -8,7 +8,8 @@ each earlier pivot's cell that it lies within the covering radius plus the
 threshold of.  Within a cell, trees of nested levels with halving radii are built
 over its own vectors and its visitors, and pairs of nodes are pruned where the
 distance of their centres exceeds both covering radii plus the threshold.  The
-pairs are exact, each found once.
+pairs are exact, each found once.  A node whose points fall into too many groups at
+the next level that separates them stays a leaf, and is compared as a whole.
 
 Null ids, null vectors, vectors with a null or non-finite value or of length zero,
 and vectors whose dimension isn't the commonest one take no part.  Of rows with
@@ -28,6 +29,7 @@ COSINE = 0.95
 CELL = 4096
 MOST_PIVOTS = 4096
 LEAF = 48
+FAN_OUT = 64
 SAFETY = 1e-4
 
 
@@ -75,7 +77,7 @@ class Tree:
                 left = left[~inside]
                 if len(left):
                     near = int(left[0])
-                if len(groups) > len(members) // 4:
+                if len(groups) > max(FAN_OUT, int(len(members) ** 0.5)):
                     break
             if len(left):  # almost all lie farther apart than this level's radius: no smaller level separates them
                 return at
