@@ -17,6 +17,7 @@ WORD[128:] = True
 
 PRIME = 0x9E3779B97F4A7C15
 CHUNK_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -47,6 +48,18 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_BYTES`` for long texts: a batch is held several times over, on both sides of the pipe.
+
+    A lower limit that the session already has stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    text = spark.conf.get(name).strip().lower().removesuffix("b")
+    held = int(text) if text.lstrip("-").isdigit() else -1
+    if held <= 0 or held > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A name like this one that no column of ``df`` has, in whatever case."""
     held = {c.lower() for c in df.columns}

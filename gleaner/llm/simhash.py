@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, cut, fresh, mix, text_chunks
+from .shared import Words, cut, fresh, mix, small_batches, text_chunks
 
 BITS = 64
 TAU = 12
@@ -79,6 +79,7 @@ def _mark(batches):
 
 def marks(docs: DataFrame) -> DataFrame:
     """One row of MARKS for each document that has a word."""
+    small_batches(docs.sparkSession)
     return docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_mark, MARKS)
 
 

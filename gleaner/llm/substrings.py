@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import PRIME, Words, cut, fresh, mix, partitions, text_chunks
+from .shared import PRIME, Words, cut, fresh, mix, partitions, small_batches, text_chunks
 
 WORDS = 50
 GRAM = 8
@@ -283,6 +283,7 @@ def _verify(contexts: DataFrame, words: int, gram: int, agree: float) -> DataFra
 
 def repeated_passages(docs: DataFrame, words: int = WORDS, gram: int = GRAM, functions: int = FUNCTIONS, agree: float = AGREE) -> DataFrame:
     """(doc_id, start, end, source_doc_id): words [start, end) of a document repeat a passage of one with a lesser doc_id."""
+    small_batches(docs.sparkSession)
     source = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = _windows(source, words, gram, functions)
     group = W.partitionBy("key")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
 from .labelled import sample
-from .shared import text_chunks
+from .shared import small_batches, text_chunks
 
 SIZES = (4, 6, 8)
 BUCKET_BITS = 21
@@ -114,6 +114,7 @@ def scorer(spark, model, bits: int = BUCKET_BITS):
     """A column function: the probability that a text is toxic, null for null and empty texts."""
     if model is None:
         return lambda c: F.lit(None).cast("double")
+    small_batches(spark)
     weights, bias = model
     known = np.flatnonzero(weights).astype(np.int32)
     shared = spark.sparkContext.broadcast((known, weights[known]))
