@@ -237,6 +237,16 @@ def repeats(key, doc, left, right, function, near, words: int, gram: int, agree:
     return [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 4
 
 
+def islands(spans: np.ndarray):
+    """Sorted rows (doc_id, start, end, source doc_id): those of one document that overlap become one, of the least source."""
+    other = spans[1:, 0] != spans[:-1, 0]
+    # by the document's place in the rows, as a doc_id may be of any size
+    shift = np.append(np.zeros(1, np.int64), np.cumsum(other)) << 32
+    reach = np.maximum.accumulate(spans[:, 2] + shift) - shift
+    heads = np.flatnonzero(np.append(np.ones(1, bool), other | (spans[1:, 1] > reach[:-1])))
+    return spans[heads, 0], spans[heads, 1], np.maximum.reduceat(spans[:, 2], heads), np.minimum.reduceat(spans[:, 3], heads)
+
+
 def _verify(contexts: DataFrame, words: int, gram: int, agree: float) -> DataFrame:
     side = words - gram
     width = 2 * side + gram
@@ -249,13 +259,8 @@ def _verify(contexts: DataFrame, words: int, gram: int, agree: float) -> DataFra
             return None
         start = c[row].astype(np.int64) - side + low
         both = np.unique(np.stack([doc[row], start, start + high - low, source], axis=1), axis=0)
-        # spans of one document from one source that overlap become one
-        fresh = np.ones(len(both), dtype=bool)
-        fresh[1:] = (both[1:, 0] != both[:-1, 0]) | (both[1:, 1] > np.maximum.accumulate(both[:, 2] + both[:, 0] * (1 << 40))[:-1] - both[1:, 0] * (1 << 40))
-        heads = np.flatnonzero(fresh)
-        ends = np.maximum.reduceat(both[:, 2], heads)
-        least = np.minimum.reduceat(both[:, 3], heads)
-        cols = [both[heads, 0], both[heads, 1].astype(np.int32), ends.astype(np.int32), least]
+        doc, start, end, source = islands(both)
+        cols = [doc, start.astype(np.int32), end.astype(np.int32), source]
         return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["doc_id", "start", "end", "source_doc_id"])
 
     def emit(batches):

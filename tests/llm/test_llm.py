@@ -200,6 +200,22 @@ def test_substrings_near_repeats(spark):
     assert all(d % 2 for d in found) and len(found) >= 0.9 * planted
 
 
+def test_substrings_spans_of_far_ids_stay_apart():
+    for far in (9000, 9_000_000, 1 << 25, (1 << 62) + 1):
+        spans = np.array([(10, 0, 50, 3), (far, 100, 160, 5), (far, 150, 220, 4), (far, 900, 960, 7)], dtype=np.int64)
+        assert [c.tolist() for c in substrings.islands(spans)] == [[10, far, far], [0, 100, 900], [50, 220, 960], [3, 4, 7]]
+
+
+def test_substrings_of_far_ids(spark):
+    rng = random.Random(3)
+    some = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    a, b, c = some(60), some(60), some(60)
+    far = 1 << 25
+    rows = [(1, " ".join(a + some(20) + b)), (2, " ".join(c)), (10, " ".join(c)), (far, " ".join(some(100) + a + some(700) + b))]
+    found = {(r.doc_id, r.start, r.end, r.source_doc_id) for r in substrings.repeated_passages(documents(spark, rows)).collect()}
+    assert found == {(10, 0, 60, 2), (far, 100, 160, 1), (far, 860, 920, 1)}
+
+
 def test_substrings_cut(spark):
     p = " ".join(f"p{k}" for k in range(70))
     rows = [(1, f"Before it. {p} After."), (2, f"Élan here: {p}, and an end."), (3, p), (4, "Nothing of that.")]
