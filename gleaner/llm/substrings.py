@@ -1,10 +1,9 @@
 """Passages that repeat across documents, found by compact windows.
 
 A text is its sequence of words (see ``Words``), a token the run of ``gram``
-words at a position.  For each of ``functions`` hash functions, the Cartesian
-tree over the token hashes gives compact windows (left, centre, right): every
-subsequence that holds the centre and lies within the window has the centre's
-hash as its min-hash.  Only windows that hold a passage of ``words`` words count;
+words at a position.  The Cartesian tree over the token hashes gives compact
+windows (left, centre, right): every subsequence that holds the centre and lies
+within the window has the centre's hash as its min-hash.  Only windows that hold a passage of ``words`` words count;
 their centres are the minima of sliding windows of that length, and the bounds
 of such a centre are always such centres too, so the tree is built over these
 few.  Windows with equal hashes meet in a join; their intersections are verified
@@ -12,10 +11,13 @@ word by word.
 
 Exact repeats of ``words`` words or more are all found: each run of that length
 has the same centre wherever it occurs, and runs are compared by rolling hash.
-Near repeats share a further min-hash beside the centre; they count where
-``agree`` of the words of such a run are equal, place by place, and reach from
-the first to the last equal word, ``words`` words at least.  A group of any
-size costs time in proportion to its rows.
+Near repeats count where ``agree`` of the words of such a run are equal, place by
+place, and reach from the first to the last equal word, ``words`` words at least.
+The words that differ leave somewhere between them a run of equal ones, of 8 words
+if 5 of 50 differ.  Seeds are the minima of the short grams within every run of
+that length, so two texts that agree have a seed in common: nothing is left to
+chance.  Seeds with the same words on both sides, as far as a passage reaches, are
+exact repeats, and only the first document's go on to be compared.
 
 Null and empty texts, and texts of fewer words, have no passages.  Repetition
 within one document does not count, and rows of one doc_id are one document.
@@ -27,18 +29,21 @@ is the one that stays.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import PRIME, Words, cut, fresh, mix, partitions, small_batches, text_chunks
+from .shared import PRIME, Words, _inverse, cut, fresh, mix, partitions, small_batches, text_chunks
 
 WORDS = 50
 GRAM = 8
-FUNCTIONS = 2
+SEED = 5
 AGREE = 0.9
+LOW_BITS = (1 << 40) - 1
 BROADCAST_ROWS = 200_000
 BLOCK = 1 << 12
 
@@ -90,11 +95,11 @@ def bounds(value: list, at: list, row: list, first: list, last: list):
     return left, right
 
 
-def compact_windows(w: Words, rows: int, words: int, gram: int, function: int):
+def compact_windows(w: Words, rows: int, words: int, gram: int):
     """(key, row, centre, left, right) of the windows that hold a passage; positions are words of the row."""
     grams, at = gram_hashes(w, gram)
     row = w.row[at]
-    value = mix(grams, 100 + function)
+    value = mix(grams, 100)
     c = centres(value, row, words - gram + 1)
     count = np.bincount(row, minlength=rows)
     end = np.cumsum(count)
@@ -103,7 +108,46 @@ def compact_windows(w: Words, rows: int, words: int, gram: int, function: int):
     return value[c].view(np.int64), row[c], c - base, np.array(left, dtype=np.int64) - base, np.array(right, dtype=np.int64) - base
 
 
-def _windows(docs: DataFrame, words: int, gram: int, functions: int) -> DataFrame:
+def most_misses(words: int, agree: float) -> int:
+    """Words of a passage that may differ."""
+    return words - math.ceil(agree * words - 1e-9)
+
+
+def seed_width(words: int, agree: float) -> tuple[int, int]:
+    """Words of a seed, and how many neighbouring places it is the minimum of."""
+    misses = most_misses(words, agree)
+    run = -(-(words - misses) // (misses + 1))
+    seed = max(1, min(SEED, run))
+    return seed, max(1, run - seed + 1)
+
+
+def seeds(w: Words, words: int, agree: float):
+    """(key, row, position, hash of the words around it that a passage with it may have)."""
+    seed, width = seed_width(words, agree)
+    side = words - seed
+    grams, at = gram_hashes(w, seed)
+    value = mix(grams, 200)
+    c = centres(value, w.row[at], width)
+    place = at[c]
+    row = w.row[place]
+    long = np.diff(w.first)[row] >= words
+    c, place, row = c[long], place[long], row[long]
+    low = np.maximum(w.first[row], place - side)
+    high = np.minimum(w.first[row + 1], place + seed + side)
+    n = len(w.hash)
+    with np.errstate(over="ignore"):
+        power, back = np.full(n + 1, PRIME, dtype=np.uint64), np.full(n + 1, _inverse(PRIME), dtype=np.uint64)
+        power[0] = back[0] = 1
+        np.cumprod(power, out=power)
+        np.cumprod(back, out=back)
+        total = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(w.hash * power[:n], out=total[1:])
+        around = mix((total[high] - total[low]) * back[low] + ((place - low) << 20 | (high - low)).astype(np.uint64))
+    return value[c].view(np.int64), row, place - w.first[row], around.view(np.int64)
+
+
+def _windows(docs: DataFrame, words: int, gram: int, agree: float) -> DataFrame:
+    """Windows have an even key, and their bounds as ``extra``; seeds an odd one, and the hash of the words around them."""
     side = words - gram
 
     def emit(batches):
@@ -111,43 +155,84 @@ def _windows(docs: DataFrame, words: int, gram: int, functions: int) -> DataFram
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for first, data, offsets in text_chunks(batch.column(1)):
                 w = Words(data, offsets)
-                for f in range(functions):
-                    key, row, c, left, right = compact_windows(w, len(offsets) - 1, words, gram, f)
-                    span = (np.minimum(c - left, side) << 16 | np.minimum(right - c, side)).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[first + row]), pa.array(c.astype(np.int32)), pa.array(span), pa.array(np.full(len(c), f, np.int32))], names=["key", "doc_id", "centre", "span", "function"])
+                key, row, c, left, right = compact_windows(w, len(offsets) - 1, words, gram)
+                span = np.minimum(c - left, side) << 16 | np.minimum(right - c, side)
+                seed, seed_row, place, around = seeds(w, words, agree)
+                for key, row, c, extra in ((key & ~1, row, c, span), (seed & LOW_BITS | 1, seed_row, place, around & LOW_BITS)):
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[first + row]), pa.array(c.astype(np.int32)), pa.array(extra)], names=["key", "doc_id", "centre", "extra"])
+
+    return docs.mapInArrow(emit, "key long, doc_id long, centre int, extra long")
+
+
+def _whole_groups(batches):
+    """Tables of the rows of batches sorted by their first column, of which no group is cut."""
+    held, rows = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows += batch.num_rows
+        keys = batch.column(0).to_numpy(zero_copy_only=False)
+        cut_at = int(np.searchsorted(keys, keys[-1]))
+        if rows < 2 * BLOCK or not cut_at and held[0].column(0)[0].as_py() == keys[-1]:
+            continue
+        yield pa.Table.from_batches([*held[:-1], batch.slice(0, cut_at)]).combine_chunks()
+        held, rows = [batch.slice(cut_at)], batch.num_rows - cut_at
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
 
-    return docs.mapInArrow(emit, "key long, doc_id long, centre int, span int, function int")
+def _shared(found: DataFrame) -> DataFrame:
+    """Rows whose key several documents have; of seeds with equal words around them only those of the first document."""
+
+    def emit(batches):
+        for table in _whole_groups(batches):
+            key, doc, extra = (table.column(k).to_numpy() for k in (0, 1, 3))
+            first = _starts_of(key, extra)
+            kept = np.flatnonzero((key & 1 == 0) | (doc == doc[first]))
+            key, doc = key[kept], doc[kept]
+            heads = np.flatnonzero(_starts_of(key) == np.arange(len(key)))
+            many = np.minimum.reduceat(doc, heads) < np.maximum.reduceat(doc, heads)
+            kept = kept[np.repeat(many, np.diff(np.append(heads, len(key))))]
+            yield from table.take(pa.array(kept)).to_batches()
 
+    rows = found.repartition(partitions(found.sparkSession), "key").sortWithinPartitions("key", "extra", "doc_id")
+    return rows.mapInArrow(emit, found.schema)
 
-def _contexts(joined: DataFrame, words: int, gram: int) -> DataFrame:
+
+def _contexts(joined: DataFrame, words: int, gram: int, agree: float) -> DataFrame:
     """Word hashes of 16 bits around each centre."""
-    side = words - gram
-    width = 2 * side + gram
+    kinds = (gram, seed_width(words, agree)[0])
 
     def emit(batches):
-        around = np.arange(-side, gram + side)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             anchors = batch.column(2)
             bound = np.asarray(anchors.offsets)
-            flat = [anchors.values.field(k).to_numpy(zero_copy_only=False) for k in range(4)]
+            flat = [anchors.values.field(k).to_numpy(zero_copy_only=False) for k in range(3)]
             for first, data, offsets in text_chunks(batch.column(1)):
                 w = Words(data, offsets)
                 rows = len(offsets) - 1
-                low, high = bound[first], bound[first + rows]
-                row = np.repeat(np.arange(rows), np.diff(bound[first : first + rows + 1]))
-                key, c, span, function = (x[low:high] for x in flat)
-                there = c + gram <= np.diff(w.first)[row]
-                key, c, span, function, row = key[there], c[there], span[there], function[there], row[there]
                 short = np.append(w.hash.astype(np.uint16), np.zeros(1, np.uint16))
-                for k in range(0, len(c), 1 << 15):
-                    s = slice(k, k + (1 << 15))
-                    at = w.first[row[s]][:, None] + c[s][:, None] + around
-                    near = short[np.clip(at, 0, len(short) - 1)]
-                    flat_bytes = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * width), len(near), [None, pa.py_buffer(np.ascontiguousarray(near).tobytes())]).cast(pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(key[s]), pa.array(ids[first + row[s]]), pa.array(c[s]), pa.array(span[s]), pa.array(function[s]), flat_bytes], names=["key", "doc_id", "centre", "span", "function", "near"])
-
-    return joined.mapInArrow(emit, "key long, doc_id long, centre int, span int, function int, near binary")
+                low, high = bound[first], bound[first + rows]
+                rows_of = np.repeat(np.arange(rows), np.diff(bound[first : first + rows + 1]))
+                for kind, size in enumerate(kinds):
+                    side = words - size
+                    width = 2 * side + size
+                    here = flat[0][low:high] & 1 == kind
+                    (key, c, extra), row = (x[low:high][here] for x in flat), rows_of[here]
+                    length = np.diff(w.first)[row]
+                    there = c + size <= length
+                    key, c, extra, row, length = key[there], c[there], extra[there], row[there], length[there]
+                    span = (np.minimum(c, side) << 16 | np.minimum(length - size - c, side)) if kind else extra
+                    for k in range(0, len(c), 1 << 15):
+                        s = slice(k, k + (1 << 15))
+                        at = w.first[row[s]][:, None] + c[s][:, None] + np.arange(-side, size + side)
+                        near = short[np.clip(at, 0, len(short) - 1)]
+                        flat_bytes = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * width), len(near), [None, pa.py_buffer(np.ascontiguousarray(near).tobytes())]).cast(pa.binary())
+                        yield pa.RecordBatch.from_arrays([pa.array(key[s]), pa.array(ids[first + row[s]]), pa.array(c[s]), pa.array(span[s].astype(np.int32)), pa.array(extra[s]), flat_bytes], names=["key", "doc_id", "centre", "span", "extra", "near"])
+
+    return joined.mapInArrow(emit, "key long, doc_id long, centre int, span int, extra long, near binary")
 
 
 def _starts_of(*columns):
@@ -159,81 +244,80 @@ def _starts_of(*columns):
     return np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
 
 
-def repeats(key, doc, left, right, function, near, words: int, gram: int, agree: float):
-    """Verified passages of rows sorted by (key, doc_id, centre), whole groups.
+def _allowed(left, right, side: int):
+    """For each row, the places of the context at which a passage may begin."""
+    at = np.arange(side + 1)[None, :]
+    return (at >= side - left[:, None]) & (at <= right[:, None])
+
+
+def exact_repeats(key, doc, left, right, near, words: int, gram: int):
+    """Passages of windows sorted by (key, doc_id), whole groups: equal runs at the same place before the centre.
 
     Gives (row, first word, end, source doc_id), words counted from the left end of the context.
     """
-    side = words - gram
+    width, offsets = near.shape[1], words - gram + 1
+    run = np.empty((len(key), offsets), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        power = np.full(width + 1, PRIME, dtype=np.uint64)
+        power[0] = 1
+        power = np.cumprod(power)
+        for s in range(0, len(key), BLOCK):
+            at = slice(s, s + BLOCK)
+            total = np.zeros((len(key[at]), width + 1), dtype=np.uint64)
+            np.cumsum((near[at].astype(np.uint64) + np.uint64(1)) * power[:width], axis=1, out=total[:, 1:])
+            sums = (total[:, words:] - total[:, :offsets]) * power[width - np.arange(offsets)]
+            run[at] = mix(sums) + key[at].view(np.uint64)[:, None] + np.arange(offsets, dtype=np.uint64)[None, :]
+    i, o = np.nonzero(_allowed(left, right, words - gram))
+    value = run[i, o]
+    order = np.argsort(value, kind="stable")
+    first = i[order[_starts_of(value[order])]]
+    row, o = i[order], o[order]
+    again = doc[row] > doc[first]
+    return row[again], o[again], o[again] + words, doc[first[again]]
+
+
+def near_repeats(key, doc, left, right, near, words: int, seed: int, agree: float):
+    """As ``exact_repeats``, of seeds: each row against the first row of its group."""
+    side = words - seed
     width, offsets = near.shape[1], side + 1
+    misses = most_misses(words, agree)
+    # of the words next to the seed on one side or the other, a passage has half of its other words
+    half = min((side + 1) // 2, 32)
+    lanes = np.arange(half, dtype=np.uint64) * np.uint64(2)
+    before, after = ((near[:, k : k + half].astype(np.uint64) & np.uint64(3)) << lanes for k in (side - half, side + seed))
+    before, after = np.bitwise_or.reduce(before, axis=1), np.bitwise_or.reduce(after, axis=1)
+
+    def differ(x):
+        return np.bitwise_count((x | x >> np.uint64(1)) & np.uint64(0x5555555555555555))
+
     out = []
-    ok = np.arange(offsets)[None, :]
-    allowed = (ok >= side - left[:, None]) & (ok <= right[:, None])
-
-    # exact: equal runs at the same place before the centre
-    own = np.flatnonzero(function == 0)
-    if len(own):
-        run = np.empty((len(own), offsets), dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            power = np.full(width + 1, PRIME, dtype=np.uint64)
-            power[0] = 1
-            power = np.cumprod(power)
-            for s in range(0, len(own), BLOCK):
-                at = own[s : s + BLOCK]
-                total = np.zeros((len(at), width + 1), dtype=np.uint64)
-                np.cumsum((near[at].astype(np.uint64) + np.uint64(1)) * power[:width], axis=1, out=total[:, 1:])
-                sums = (total[:, words:] - total[:, :offsets]) * power[width - np.arange(offsets)]
-                run[s : s + BLOCK] = mix(sums) + key[at].view(np.uint64)[:, None] + np.arange(offsets, dtype=np.uint64)[None, :]
-        i, o = np.nonzero(allowed[own])
-        value = run[i, o]
-        order = np.argsort(value, kind="stable")
-        head = order[_starts_of(value[order])]
-        first = own[i[head]]
-        row, o = own[i[order]], o[order]
-        again = doc[row] > doc[first]
-        out.append((row[again], o[again], o[again] + words, doc[first[again]]))
-
-    # near: rows that share a min-hash beside the centre with the first such row
-    reach = side // 2 + gram // 2
-
-    def least(at: np.ndarray, low: int, high: int) -> np.ndarray:
-        """The min-hash over the grams from ``low`` to ``high`` of the context."""
-        out = np.empty(len(at), dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            for s in range(0, len(at), BLOCK):
-                part = near[at[s : s + BLOCK], low : high + gram]
-                grams = np.zeros((len(part), high - low + 1), dtype=np.uint64)
-                for k in range(gram):
-                    grams = grams * np.uint64(PRIME) + part[:, k : k + grams.shape[1]] + np.uint64(1)
-                out[s : s + BLOCK] = mix(grams).min(axis=1)
-        return out
-
-    for low, high, has in ((side - reach, side - gram, left >= reach), (side + gram, side + gram + reach - gram, right >= reach)):
-        at = np.flatnonzero(has)
-        if high < low or not len(at):
-            continue
-        beside = least(at, low, high)
-        order = at[np.lexsort((at, beside, key[at]))]
-        sign = np.empty(len(key), np.uint64)
-        sign[at] = beside
-        first = order[_starts_of(key[order], sign[order])]
-        pick = doc[order] > doc[first]
-        x, y = order[pick], first[pick]
+
+    def compare(x, y):
+        """Whether each row has a passage in common with the row y beside it."""
+        held = np.zeros(len(x), dtype=bool)
         for s in range(0, len(x), BLOCK):
             a, b = x[s : s + BLOCK], y[s : s + BLOCK]
             equal = near[a] == near[b]
             same = np.zeros((len(a), width + 1), dtype=np.int16)
             np.cumsum(equal, axis=1, out=same[:, 1:])
-            good = (same[:, words:] - same[:, :offsets] >= agree * words) & allowed[a] & allowed[b]
+            good = (same[:, words:] - same[:, :offsets] >= words - misses) & _allowed(np.minimum(left[a], left[b]), np.minimum(right[a], right[b]), side)
             found = np.flatnonzero(good.any(axis=1))
             good, equal = good[found], equal[found]
             # the passage begins and ends with words that agree
             places = np.arange(width)[None, :]
             equal &= (places >= good.argmax(axis=1)[:, None]) & (places < (offsets - 1 - good[:, ::-1].argmax(axis=1) + words)[:, None])
-            low_at, high_at = equal.argmax(axis=1), width - equal[:, ::-1].argmax(axis=1)
-            enough = high_at - low_at >= words
-            found, low_at, high_at = found[enough], low_at[enough], high_at[enough]
-            out.append((a[found], low_at, high_at, doc[b[found]]))
+            low, high = equal.argmax(axis=1), width - equal[:, ::-1].argmax(axis=1)
+            enough = high - low >= words
+            found, low, high = found[enough], low[enough], high[enough]
+            held[s + found] = True
+            out.append((a[found], low, high, doc[b[found]]))
+        return held
+
+    start = _starts_of(key)
+    x = np.arange(len(key))
+    y = start
+    maybe = (doc[y] < doc[x]) & ((differ(before[x] ^ before[y]) <= misses) | (differ(after[x] ^ after[y]) <= misses))
+    compare(x[maybe], y[maybe])
     return [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 4
 
 
@@ -248,54 +332,50 @@ def islands(spans: np.ndarray):
 
 
 def _verify(contexts: DataFrame, words: int, gram: int, agree: float) -> DataFrame:
-    side = words - gram
-    width = 2 * side + gram
-
-    def settle(table):
-        key, doc, c, span, function = (table.column(k).to_numpy(zero_copy_only=False) for k in range(5))
-        near = np.frombuffer(b"".join(table.column(5).to_pylist()), dtype=np.uint16).reshape(-1, width)
-        row, low, high, source = repeats(key, doc, span >> 16, span & 0xFFFF, function, near, words, gram, agree)
-        if not len(row):
-            return None
+    kinds = (gram, seed_width(words, agree)[0])
+
+    def spans(table, kind: int):
+        key, doc, c, span, extra = (table.column(k).to_numpy() for k in range(5))
+        own = np.flatnonzero(key & 1 == kind)
+        if not len(own):
+            return np.zeros((0, 4), np.int64)
+        side = words - kinds[kind]
+        near = np.frombuffer(b"".join(table.column(5).take(pa.array(own)).to_pylist()), dtype=np.uint16).reshape(len(own), -1)
+        key, doc, c, span, extra = (x[own] for x in (key, doc, c, span, extra))
+        left, right = span >> 16, span & 0xFFFF
+        if kind:  # places of one document with equal words around them are compared once
+            first = _starts_of(key, doc, extra)
+            one = np.flatnonzero(first == np.arange(len(first)))
+            row, low, high, source = near_repeats(key[one], doc[one], left[one], right[one], near[one], words, kinds[kind], agree)
+            size = np.diff(np.append(one, len(first)))[row]
+            ends = np.cumsum(size)
+            low, high, source = (np.repeat(x, size) for x in (low, high, source))
+            row = np.repeat(one[row], size) + np.arange(len(low)) - np.repeat(ends - size, size)
+        else:
+            row, low, high, source = exact_repeats(key, doc, left, right, near, words, gram)
         start = c[row].astype(np.int64) - side + low
-        both = np.unique(np.stack([doc[row], start, start + high - low, source], axis=1), axis=0)
-        doc, start, end, source = islands(both)
-        cols = [doc, start.astype(np.int32), end.astype(np.int32), source]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["doc_id", "start", "end", "source_doc_id"])
+        return np.stack([doc[row], start, start + high - low, source], axis=1)
 
     def emit(batches):
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            if held.num_rows < 2 * BLOCK:
-                continue
-            keys = held.column(0).to_numpy()
-            cut_at = int(np.searchsorted(keys, keys[-1]))
-            if cut_at:
-                done = settle(held.slice(0, cut_at).combine_chunks())
-                held = held.slice(cut_at)
-                if done is not None:
-                    yield done
-        if held is not None and held.num_rows:
-            done = settle(held.combine_chunks())
-            if done is not None:
-                yield done
-
-    sorted_ = contexts.repartition(partitions(contexts.sparkSession), "key").sortWithinPartitions("key", "doc_id", "centre")
+        for table in _whole_groups(batches):
+            both = np.unique(np.concatenate([spans(table, kind) for kind in range(len(kinds))]), axis=0)
+            if len(both):
+                doc, start, end, source = islands(both)
+                cols = [doc, start.astype(np.int32), end.astype(np.int32), source]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["doc_id", "start", "end", "source_doc_id"])
+
+    sorted_ = contexts.repartition(partitions(contexts.sparkSession), "key").sortWithinPartitions("key", "doc_id", "extra", "centre")
     return sorted_.mapInArrow(emit, "doc_id long, start int, end int, source_doc_id long")
 
 
-def repeated_passages(docs: DataFrame, words: int = WORDS, gram: int = GRAM, functions: int = FUNCTIONS, agree: float = AGREE) -> DataFrame:
+def repeated_passages(docs: DataFrame, words: int = WORDS, gram: int = GRAM, agree: float = AGREE) -> DataFrame:
     """(doc_id, start, end, source_doc_id): words [start, end) of a document repeat a passage of one with a lesser doc_id."""
     small_batches(docs.sparkSession)
     source = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = _windows(source, words, gram, functions)
-    group = W.partitionBy("key")
-    shared = found.withColumn("low", F.min("doc_id").over(group)).withColumn("high", F.max("doc_id").over(group)).where("low < high")
-    anchors = shared.groupBy("doc_id").agg(F.collect_set(F.struct("key", "centre", "span", "function")).alias("anchors"))
+    shared = _shared(_windows(source, words, gram, agree))
+    anchors = shared.groupBy("doc_id").agg(F.collect_set(F.struct("key", "centre", "extra")).alias("anchors"))
     joined = source.join(anchors, "doc_id").select("doc_id", "text", "anchors")
-    spans = _verify(_contexts(joined, words, gram), words, gram, agree)
+    spans = _verify(_contexts(joined, words, gram, agree), words, gram, agree)
     order = W.partitionBy("doc_id").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
     island = spans.withColumn("new", F.when(F.col("start") <= reach, 0).otherwise(1)).withColumn("island", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))

@@ -200,6 +200,42 @@ def test_substrings_near_repeats(spark):
     assert all(d % 2 for d in found) and len(found) >= 0.9 * planted
 
 
+def agreeing(a, b, words=substrings.WORDS, agree=substrings.AGREE):
+    """Whether a run of ``words`` words, place by place, has ``agree`` of them equal and its first and last."""
+    equal = [x == y for x, y in zip(a, b)]
+    return any(equal[k] and equal[k + words - 1] and sum(equal[k : k + words]) >= agree * words for k in range(len(equal) - words + 1))
+
+
+def edited_passages(seed, each=60):
+    """{setting: [(doc_id, text, doc_id, edited text)]}: passages of 50 to 100 words, edited as far as ``agree`` allows."""
+    rng = random.Random(seed)
+    some = lambda n: [f"q{rng.randrange(3000)}" for _ in range(n)]
+    share = lambda n, part: rng.sample(range(n), round(n * part))
+    settings = {f"{n} words, {part:.0%}": (n, lambda n, part=part: share(n, part)) for n in (50, 60, 75, 100) for part in (0.02, 0.05, 0.08, 0.1)}
+    settings |= {f"{n} words, each {k}th": (n, lambda n, k=k: range(rng.randrange(k), n, k)) for n in (60, 80, 100) for k in (10, 15, 20)}
+    out, doc = {}, 0
+    for name, (n, places) in settings.items():
+        out[name] = []
+        while len(out[name]) < each:
+            passage = some(n)
+            edited = list(passage)
+            for k in places(n):
+                edited[k] = f"edit{rng.randrange(3000)}"
+            if agreeing(passage, edited):
+                out[name].append((doc, " ".join(some(60) + passage + some(40)), doc + 1, " ".join(some(30) + edited + some(50))))
+                doc += 2
+    return out
+
+
+def test_substrings_near_repeats_equal_brute_force(spark):
+    cases = edited_passages(4)
+    rows = [row for case in cases.values() for d, text, e, edited in case for row in ((d, text), (e, edited))]
+    found = {(r.doc_id, r.source_doc_id) for r in substrings.repeated_passages(documents(spark, rows)).collect()}
+    recall = {name: sum((e, d) in found for d, _, e, _ in case) / len(case) for name, case in cases.items()}
+    assert set(recall.values()) == {1.0}, recall
+    assert found <= {(e, d) for case in cases.values() for d, _, e, _ in case}
+
+
 def test_substrings_spans_of_far_ids_stay_apart():
     for far in (9000, 9_000_000, 1 << 25, (1 << 62) + 1):
         spans = np.array([(10, 0, 50, 3), (far, 100, 160, 5), (far, 150, 220, 4), (far, 900, 960, 7)], dtype=np.int64)
