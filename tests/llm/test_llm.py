@@ -236,6 +236,23 @@ def test_substrings_near_repeats_equal_brute_force(spark):
     assert found <= {(e, d) for case in cases.values() for d, _, e, _ in case}
 
 
+def test_near_repeats_go_on_to_further_rows():
+    """A group in which only rows 2 and 3 agree, and one that is a chain: each agrees with the row before it only."""
+    rng = np.random.default_rng(2)
+    side = substrings.WORDS - substrings.SEED
+    near = rng.integers(0, 1 << 16, (6, 2 * side + substrings.SEED)).astype(np.uint16)
+    near[:, side : side + substrings.SEED] = 7
+    near[2] = near[1]
+    near[2, 3] += 1
+    for k in (4, 5):
+        near[k] = near[k - 1]
+        near[k, 5 * (k - 4) : side : 10] += 1
+        near[k, side + substrings.SEED + 5 * (k - 4) :: 10] += 1
+    full = np.full(6, side)
+    row, low, high, source = substrings.near_repeats(np.array([1, 1, 1, 3, 3, 3]), np.arange(10, 16), full, full, near, substrings.WORDS, substrings.SEED, substrings.AGREE)
+    assert sorted(zip(row.tolist(), source.tolist())) == [(2, 11), (4, 13), (5, 14)]
+
+
 def test_substrings_spans_of_far_ids_stay_apart():
     for far in (9000, 9_000_000, 1 << 25, (1 << 62) + 1):
         spans = np.array([(10, 0, 50, 3), (far, 100, 160, 5), (far, 150, 220, 4), (far, 900, 960, 7)], dtype=np.int64)
