@@ -1,16 +1,18 @@
 """Toxicity by a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the distinct n-grams of a text's UTF-8 bytes, lower-cased, hashed
-into buckets.  Each is scaled by its log-count ratio, the log of the smoothed share
-of toxic texts over that of other texts that have it; features whose ratio is
-less than ``LEAST_RATIO`` either way say nothing and are left out.  A logistic
-regression with L2 is fitted over the scaled features.  It is fitted on at most
-``per_class`` labelled texts of each class, on the driver; the intercept is
-corrected to the share of toxic labels.  Every text is scored whole.
+Features are the distinct n-grams of a text's characters, lower-cased, hashed into
+buckets.  Each is scaled by its log-count ratio, the log of the smoothed share of
+toxic texts over that of other texts that have it; features whose ratio is less than
+``LEAST_RATIO`` either way say nothing and are left out.  A logistic regression with
+L2 is fitted over the scaled features.  It is fitted on at most ``per_class``
+labelled texts of each class, on the driver; the intercept is corrected to the share
+of toxic labels.  Every text is scored whole, a very long one in overlapping pieces
+whose n-grams are put together.
 
 Null and empty texts, and all texts where no label of one class exists, score
 null and are not toxic.  Texts shorter than the shortest n-gram score null too.
-Repeated rows score alike; other columns are ignored, or carried through.
+Repeated rows score alike; other columns, whatever their names, are ignored, or
+carried through.  An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -27,34 +29,60 @@ from .shared import small_batches, text_chunks
 SIZES = (4, 6, 8)
 BUCKET_BITS = 21
 PER_CLASS = 2000
-LEAST_TEXTS = 5
+LEAST_TEXTS = 2
 LEAST_RATIO = 1.0
-SMOOTH = 15
+SMOOTH = 12
 THRESHOLD = 0.2
+PIECE = 1 << 20
+
+
+def characters(data: np.ndarray, offsets: np.ndarray):
+    """One number a character of UTF-8 bytes, its bytes side by side; row offsets in characters."""
+    lead = (data & np.uint8(0xC0)) != np.uint8(0x80)
+    if lead.all():
+        return data.astype(np.uint32), offsets
+    at = np.flatnonzero(lead)
+    value = data[at].astype(np.uint32)
+    for k, least in ((1, 0xC0), (2, 0xE0), (3, 0xF0)):
+        more = np.flatnonzero(data[at] >= least)
+        value[more] = value[more] << np.uint32(8) | data[at[more] + k]
+    return value, np.searchsorted(at, offsets)
+
+
+def _grams(b: np.ndarray, bits: int):
+    """(size, bucket of the n-gram at each position) for each size."""
+    n, value, out = len(b), b, []
+    with np.errstate(over="ignore"):
+        for size in range(2, max(SIZES) + 1):
+            value = value[: n - size + 1] * np.uint32(0x01000193) ^ b[size - 1 :] if n >= size else value[:0]
+            if size in SIZES:
+                h = (value ^ (value >> np.uint32(15))) * np.uint32(0x85EBCA6B + 2 * size)
+                out.append((size, ((h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35) >> np.uint32(32 - bits)).astype(np.int32)))
+    return out
 
 
 def text_features(column: pa.Array, bits: int = BUCKET_BITS):
     """Yields (row, distinct feature buckets) for each text that has any."""
     stamp = np.zeros(1 << bits, dtype=np.int32)
-    shift = np.uint32(32 - bits)
-    with np.errstate(over="ignore"):
-        for first, data, offsets in text_chunks(column):
-            b = data.astype(np.uint32)
-            n = len(b)
-            grams = []
-            value = b.copy()
-            for size in range(2, max(SIZES) + 1):
-                value = value[: n - size + 1] * np.uint32(0x01000193) ^ b[size - 1 :] if n >= size else value[:0]
-                if size in SIZES:
-                    h = (value ^ (value >> np.uint32(15))) * np.uint32(0x85EBCA6B + 2 * size)
-                    grams.append((size, ((h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35) >> shift).astype(np.int32)))
-            for k in range(len(offsets) - 1):
-                low, high = offsets[k], offsets[k + 1]
-                x = np.concatenate([g[low : max(low, high - s + 1)] for s, g in grams])
-                if len(x):
-                    at = np.arange(len(x), dtype=np.int32)
-                    stamp[x] = at
-                    yield first + k, x[stamp[x] == at]
+
+    def distinct(x):
+        at = np.arange(len(x), dtype=np.int32)
+        stamp[x] = at
+        return x[stamp[x] == at]
+
+    for first, data, offsets in text_chunks(column):
+        if len(offsets) == 2 and len(data) > 2 * PIECE:
+            b, _ = characters(data, offsets)
+            pieces = [distinct(np.concatenate([g for _, g in _grams(b[k : k + PIECE + max(SIZES) - 1], bits)])) for k in range(0, len(b), PIECE)]
+            yield first, distinct(np.concatenate(pieces))
+            continue
+        b, offsets = characters(data, offsets)
+        grams = _grams(b, bits)
+        for k in range(len(offsets) - 1):
+            low, high = offsets[k], offsets[k + 1]
+            x = np.concatenate([g[low : max(low, high - s + 1)] for s, g in grams])
+            if len(x):
+                yield first + k, distinct(x)
 
 
 def fit(texts: pa.Array, labels: np.ndarray, share: float, steps: int = 400, decay: float = 1e-2, bits: int = BUCKET_BITS):

@@ -320,11 +320,13 @@ def test_classifiers_awkward(spark, awkward, docs, labels):
     assert toxicity.without_toxic(awkward, labels.limit(0)).count() == awkward.count()
 
 
-def test_toxicity_features_match_plain_grams():
-    texts = ["abcabc", "", None, "Äbc"]
-    found = {row: len(x) for row, x in toxicity.text_features(pa.array(texts), bits=20)}
-    plain = {i: len({t.lower().encode()[k : k + n] for n in toxicity.SIZES for k in range(len(t.lower().encode()) - n + 1)}) for i, t in enumerate(texts) if t}
-    assert found == plain
+def test_toxicity_features_match_plain_grams(monkeypatch):
+    texts = ["abcabc", "", None, "Äbc", "ÄÄÄÄbcßß 漢字かな交じり文😀 x", "long " * 300 + "Ä tail"]
+    plain = {i: len({t.lower()[k : k + n] for n in toxicity.SIZES for k in range(len(t) - n + 1)}) for i, t in enumerate(texts) if t and len(t) >= min(toxicity.SIZES)}
+    for piece in (toxicity.PIECE, 100):  # the last text whole, and in pieces
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        assert {row: len(x) for row, x in toxicity.text_features(pa.array(texts), bits=20)} == plain
+        assert {row: len(x) for row, x in toxicity.text_features(pa.array(texts[5:]), bits=20)} == {0: plain[5]}
 
 
 # 5
