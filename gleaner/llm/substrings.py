@@ -16,17 +16,21 @@ place, and reach from the first to the last equal word, ``words`` words at least
 The words that differ leave somewhere between them a run of equal ones, of 8 words
 if 5 of 50 differ.  Seeds are the minima of the short grams within every run of
 that length, so two texts that agree have a seed in common: nothing is left to
-chance.  Seeds with the same words on both sides, as far as a passage reaches, are
-exact repeats, and only the first document's go on to be compared: each with all
-before it until one agrees.  That costs time in proportion to the rows of a group
-where they agree, but to the square of those that don't, as of a line that many
-texts have in common; such pairs are told apart by two words of 64 bits each.
+chance.  One word over and over is no seed: passages that have nothing else in
+common count where they are equal.  Seeds with the same words on both sides, as far as a passage reaches, are
+exact repeats, and only the first document's go on to be compared, each with those
+before it until one agrees.  Not all of a group are compared, as a line that many
+texts have in common puts all of them into one.  Of the blocks of words next to the
+seed two rows that agree have all but a few in common, so of any window of blocks
+one of the few rarest of the group is common to both (prefix filtering): rows are
+compared where they share such a block.  That loses no pair.
 
 Null and empty texts, and texts of fewer words, have no passages.  Repetition
 within one document does not count, and rows of one doc_id are one document.
 Such rows are taken to hold the same text.
-Rows without a doc_id take no part.  An empty table gives none.  Other columns
-are ignored, or carried through.  Ties go to the least doc_id, whose passage
+Rows without a doc_id take no part.  An empty table gives none.  Other columns,
+whatever their names, are ignored, or carried through.  Very long texts are taken
+whole.  Ties go to the least doc_id, whose passage
 is the one that stays.
 """
 
@@ -40,15 +44,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import PRIME, Words, _inverse, cut, fresh, mix, partitions, small_batches, text_chunks
+from .shared import PRIME, Words, _inverse, cut, fresh, mix, partitions, small_batches, stored, text_chunks
 
 WORDS = 50
 GRAM = 8
 SEED = 5
 AGREE = 0.9
-LOW_BITS = (1 << 40) - 1
+AROUND_BITS = 21
 BROADCAST_ROWS = 200_000
 BLOCK = 1 << 12
+FEW = 4
+_SHARED = ["code", "doc_id", "place", "source_doc_id"]
 
 
 def gram_hashes(w: Words, gram: int):
@@ -124,47 +130,107 @@ def seed_width(words: int, agree: float) -> tuple[int, int]:
     return seed, max(1, run - seed + 1)
 
 
+def regions(w: Words, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Hash of the words [low, high) of a chunk, for many regions."""
+    n = len(w.hash)
+    with np.errstate(over="ignore"):
+        power, back = np.full(n + 1, PRIME, dtype=np.uint64), np.full(n + 1, _inverse(PRIME), dtype=np.uint64)
+        power[0] = back[0] = 1
+        np.cumprod(power, out=power)
+        np.cumprod(back, out=back)
+        total = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(w.hash * power[:n], out=total[1:])
+        return mix((total[high] - total[low]) * back[low] + (high - low).astype(np.uint64))
+
+
 def seeds(w: Words, words: int, agree: float):
     """(key, row, position, hash of the words around it that a passage with it may have)."""
     seed, width = seed_width(words, agree)
     side = words - seed
     grams, at = gram_hashes(w, seed)
     value = mix(grams, 200)
+    one_word = np.ones(len(at), dtype=bool)
+    for k in range(1, seed):
+        one_word &= w.hash[at] == w.hash[at + k]
+    value[one_word] = ~np.uint64(0)
     c = centres(value, w.row[at], width)
+    c = c[~one_word[c]]
     place = at[c]
     row = w.row[place]
     long = np.diff(w.first)[row] >= words
     c, place, row = c[long], place[long], row[long]
     low = np.maximum(w.first[row], place - side)
     high = np.minimum(w.first[row + 1], place + seed + side)
-    n = len(w.hash)
-    with np.errstate(over="ignore"):
-        power, back = np.full(n + 1, PRIME, dtype=np.uint64), np.full(n + 1, _inverse(PRIME), dtype=np.uint64)
-        power[0] = back[0] = 1
-        np.cumprod(power, out=power)
-        np.cumprod(back, out=back)
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(w.hash * power[:n], out=total[1:])
-        around = mix((total[high] - total[low]) * back[low] + ((place - low) << 20 | (high - low)).astype(np.uint64))
+    around = mix(regions(w, low, high) + (place - low).astype(np.uint64))
     return value[c].view(np.int64), row, place - w.first[row], around.view(np.int64)
 
 
+def _buckets(spark) -> int:
+    """Parts that keys are dealt to: several for each partition, so that one fits into memory, but not so many that a batch has next to nothing for each."""
+    size = partitions(spark)
+    return size * max(1, min(16, 8192 // size))
+
+
+def _packed(code, doc, place) -> bytes:
+    """Three columns of numbers, documents as differences, by bytes of equal weight, compressed."""
+    import zstandard
+
+    columns = (code, np.diff(doc, prepend=np.int64(0)), place)
+    planes = b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns)
+    return zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def _unpacked(payloads):
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    parts = []
+    for p in payloads:
+        planes = np.frombuffer(unpack(p), np.uint8).reshape(3, 8, -1)
+        code, doc, place = (np.ascontiguousarray(x.T).view(np.int64)[:, 0] for x in planes)
+        parts.append((code, np.cumsum(doc), place))
+    return [np.concatenate(c) for c in zip(*parts)]
+
+
 def _windows(docs: DataFrame, words: int, gram: int, agree: float) -> DataFrame:
-    """Windows have an even key, and their bounds as ``extra``; seeds an odd one, and the hash of the words around them."""
+    """Windows and seeds, three numbers each, those of a batch that go to one bucket packed into a row.
+
+    ``code`` has the key above ``AROUND_BITS``, its last bit 0 for windows and 1 for seeds,
+    and below it bits of the hash of the words around.  ``place`` has the position in the
+    last 31 bits; of windows also the bounds in the next 16 and further bits of the hash.
+    """
     side = words - gram
+    if not 0 <= side < 256:
+        raise ValueError("passages of 8 to 263 words can be searched for, with grams no longer than a passage")
+    key_bits, around_bits, buckets = -(1 << AROUND_BITS + 1), (1 << AROUND_BITS) - 1, _buckets(docs.sparkSession)
 
     def emit(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
+            codes, docs_, places = [], [], []
             for first, data, offsets in text_chunks(batch.column(1)):
                 w = Words(data, offsets)
                 key, row, c, left, right = compact_windows(w, len(offsets) - 1, words, gram)
-                span = np.minimum(c - left, side) << 16 | np.minimum(right - c, side)
-                seed, seed_row, place, around = seeds(w, words, agree)
-                for key, row, c, extra in ((key & ~1, row, c, span), (seed & LOW_BITS | 1, seed_row, place, around & LOW_BITS)):
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[first + row]), pa.array(c.astype(np.int32)), pa.array(extra)], names=["key", "doc_id", "centre", "extra"])
+                left, right = np.minimum(c - left, side), np.minimum(right - c, side)
+                at = w.first[row] + c
+                around = regions(w, at - left, at + right + gram).view(np.int64)
+                span = (around >> 43 & 0xFFFF) << 47 | left << 39 | right << 31
+                for key, row, place, around, kind in ((key, row, c | span, around, 0), (*seeds(w, words, agree), 1)):
+                    codes.append(key & key_bits | kind << AROUND_BITS | around & around_bits)
+                    docs_.append(ids[first + row])
+                    places.append(place)
+            if not codes:
+                continue
+            code, doc, place = (np.concatenate(x) for x in (codes, docs_, places))
+            bucket = ((mix((code >> AROUND_BITS).view(np.uint64), 7) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            code, doc, place, bucket = code[order], doc[order], place[order], bucket[order]
+            heads = np.flatnonzero(_starts_of(bucket) == np.arange(len(bucket)))
+            ends = np.append(heads[1:], len(bucket))
+            payload = [_packed(code[i:j], doc[i:j], place[i:j]) for i, j in zip(heads, ends)]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[heads]), pa.array(payload, pa.binary())], names=["bucket", "payload"])
 
-    return docs.mapInArrow(emit, "key long, doc_id long, centre int, extra long")
+    return docs.mapInArrow(emit, "bucket int, payload binary")
 
 
 def _whole_groups(batches):
@@ -185,55 +251,94 @@ def _whole_groups(batches):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _shared(found: DataFrame) -> DataFrame:
-    """Rows whose key several documents have; of seeds with equal words around them only those of the first document."""
+def _buckets_of(batches):
+    """(code, doc, place) of each bucket of batches sorted by bucket."""
+    held, now = [], None
+    for batch in batches:
+        for bucket, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if held and bucket != now:
+                yield _unpacked(held)
+                held = []
+            now = bucket
+            held.append(payload.as_py())
+    if held:
+        yield _unpacked(held)
+
+
+def _shared(found: DataFrame, gram: int) -> DataFrame:
+    """Rows whose key several documents have, of those with equal words around them only the first document's.
+
+    The others repeat that document: of windows the whole region is a passage, given as a
+    row with ``source_doc_id`` whose ``place`` has its bounds.
+    """
 
     def emit(batches):
-        for table in _whole_groups(batches):
-            key, doc, extra = (table.column(k).to_numpy() for k in (0, 1, 3))
-            first = _starts_of(key, extra)
-            kept = np.flatnonzero((key & 1 == 0) | (doc == doc[first]))
-            key, doc = key[kept], doc[kept]
+        for code, doc, place in _buckets_of(batches):
+            around = place >> 31
+            order = np.lexsort((doc, around, code))
+            code, doc, place, around = code[order], doc[order], place[order], around[order]
+            first = _starts_of(code, around)
+            stays = doc == doc[first]
+            again = np.flatnonzero(~stays & (code >> AROUND_BITS & 1 == 0))
+            if len(again):
+                c, left, right = place[again] & (1 << 31) - 1, place[again] >> 39 & 0xFF, place[again] >> 31 & 0xFF
+                cols = islands(np.stack([doc[again], c - left, c + gram + right, doc[first[again]]], axis=1))
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(cols[0]), pa.int64()), pa.array(cols[0]), pa.array(cols[1] << 31 | cols[2]), pa.array(cols[3])], names=_SHARED)
+            kept = np.flatnonzero(stays)
+            key = code[kept] >> AROUND_BITS
             heads = np.flatnonzero(_starts_of(key) == np.arange(len(key)))
-            many = np.minimum.reduceat(doc, heads) < np.maximum.reduceat(doc, heads)
+            many = np.minimum.reduceat(doc[kept], heads) < np.maximum.reduceat(doc[kept], heads)
             kept = kept[np.repeat(many, np.diff(np.append(heads, len(key))))]
-            yield from table.take(pa.array(kept)).to_batches()
+            if len(kept):
+                yield pa.RecordBatch.from_arrays([pa.array(code[kept]), pa.array(doc[kept]), pa.array(place[kept]), pa.nulls(len(kept), pa.int64())], names=_SHARED)
 
-    rows = found.repartition(partitions(found.sparkSession), "key").sortWithinPartitions("key", "extra", "doc_id")
-    return rows.mapInArrow(emit, found.schema)
+    size = partitions(found.sparkSession)
+    return found.repartitionById(size, F.col("bucket") % size).sortWithinPartitions("bucket").mapInArrow(emit, "code long, doc_id long, place long, source_doc_id long")
+
+
+def _short(docs: DataFrame) -> DataFrame:
+    """Texts as 8 bits of the hash of each word: those of two words that differ are equal once in 256 times."""
+
+    def emit(batches):
+        for batch in batches:
+            for first, data, offsets in text_chunks(batch.column(1)):
+                w = Words(data, offsets)
+                ends = pa.py_buffer(w.first.astype(np.int64))
+                words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, ends, pa.py_buffer(w.hash.astype(np.uint8))])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(offsets) - 1), words.cast(pa.binary())], names=["doc_id", "words"])
+
+    return docs.mapInArrow(emit, "doc_id long, words binary")
 
 
 def _contexts(joined: DataFrame, words: int, gram: int, agree: float) -> DataFrame:
-    """Word hashes of 16 bits around each centre."""
+    """Word hashes around each centre, of rows of ``_short`` with their anchors."""
     kinds = (gram, seed_width(words, agree)[0])
 
     def emit(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            anchors = batch.column(2)
+            texts, anchors = batch.column(1).cast(pa.large_binary()), batch.column(2)
+            first = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+            raw = texts.buffers()[2]
+            short = np.frombuffer(raw, dtype=np.uint8) if raw is not None and raw.size else np.zeros(1, np.uint8)
             bound = np.asarray(anchors.offsets)
-            flat = [anchors.values.field(k).to_numpy(zero_copy_only=False) for k in range(3)]
-            for first, data, offsets in text_chunks(batch.column(1)):
-                w = Words(data, offsets)
-                rows = len(offsets) - 1
-                short = np.append(w.hash.astype(np.uint16), np.zeros(1, np.uint16))
-                low, high = bound[first], bound[first + rows]
-                rows_of = np.repeat(np.arange(rows), np.diff(bound[first : first + rows + 1]))
-                for kind, size in enumerate(kinds):
-                    side = words - size
-                    width = 2 * side + size
-                    here = flat[0][low:high] & 1 == kind
-                    (key, c, extra), row = (x[low:high][here] for x in flat), rows_of[here]
-                    length = np.diff(w.first)[row]
-                    there = c + size <= length
-                    key, c, extra, row, length = key[there], c[there], extra[there], row[there], length[there]
-                    span = (np.minimum(c, side) << 16 | np.minimum(length - size - c, side)) if kind else extra
-                    for k in range(0, len(c), 1 << 15):
-                        s = slice(k, k + (1 << 15))
-                        at = w.first[row[s]][:, None] + c[s][:, None] + np.arange(-side, size + side)
-                        near = short[np.clip(at, 0, len(short) - 1)]
-                        flat_bytes = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * width), len(near), [None, pa.py_buffer(np.ascontiguousarray(near).tobytes())]).cast(pa.binary())
-                        yield pa.RecordBatch.from_arrays([pa.array(key[s]), pa.array(ids[first + row[s]]), pa.array(c[s]), pa.array(span[s].astype(np.int32)), pa.array(extra[s]), flat_bytes], names=["key", "doc_id", "centre", "span", "extra", "near"])
+            code, place = (anchors.values.field(k).to_numpy(zero_copy_only=False)[bound[0] : bound[-1]] for k in range(2))
+            rows_of = np.repeat(np.arange(len(ids)), np.diff(bound))
+            kind_of, at = code >> AROUND_BITS & 1, place & (1 << 31) - 1
+            extra_of = np.where(kind_of == 1, code & (1 << AROUND_BITS) - 1, place >> 31 & 0xFFFF)
+            for kind, size in enumerate(kinds):
+                side = words - size
+                width = 2 * side + size
+                length = np.diff(first)[rows_of]
+                here = np.flatnonzero((kind_of == kind) & (at + size <= length))
+                for k in range(0, len(here), 1 << 15):
+                    i = here[k : k + (1 << 15)]
+                    row, c, extra = rows_of[i], at[i], extra_of[i]
+                    span = (np.minimum(c, side) << 16 | np.minimum(length[i] - size - c, side)) if kind else (extra >> 8) << 16 | extra & 0xFF
+                    near = short[np.clip((first[row] + c)[:, None] + np.arange(-side, size + side), 0, len(short) - 1)]
+                    flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(near), [None, pa.py_buffer(np.ascontiguousarray(near).tobytes())]).cast(pa.binary())
+                    cols = [code[i] >> AROUND_BITS, ids[row], c.astype(np.int32), span.astype(np.int32), extra]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, cols), flat], names=["key", "doc_id", "centre", "span", "extra", "near"])
 
     return joined.mapInArrow(emit, "key long, doc_id long, centre int, span int, extra long, near binary")
 
@@ -279,8 +384,47 @@ def exact_repeats(key, doc, left, right, near, words: int, gram: int):
     return row[again], o[again], o[again] + words, doc[first[again]]
 
 
+def _rare_blocks(key, left, right, near, side: int, seed: int, misses: int):
+    """(row, block) where rows of a key may agree: what each row has among the rarest blocks of some window of blocks.
+
+    Blocks are the words next to the seed, ``size`` at a time.  Any passage has ``wide``
+    whole blocks, i on the left and the others on the right; two that agree differ in
+    ``misses`` of them at most, so the ``misses + 1`` first ones of both, in one order of
+    all blocks by rarity, have one in common.  Gives none where passages have too few blocks.
+    """
+    size = max(1, side // (2 * misses + 4))
+    each = side // size
+    wide = min(a // size + (side - a) // size for a in range(side + 1))
+    if wide <= misses:
+        return None
+    rows = len(key)
+    value = np.empty((rows, 2 * each), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(each):
+            for column, start in ((j, side - size * (j + 1)), (each + j, side + seed + size * j)):
+                x = key.view(np.uint64) * np.uint64(PRIME) + np.uint64(column)
+                for k in range(start, start + size):
+                    x = x * np.uint64(PRIME) + near[:, k]
+                value[:, column] = mix(x)
+    there = np.concatenate([left[:, None] >= size * np.arange(1, each + 1), right[:, None] >= size * np.arange(1, each + 1)], axis=1)
+    i, j = np.nonzero(there)
+    _, token, count = np.unique(value[i, j], return_inverse=True, return_counts=True)
+    rank = np.full(value.shape, ~np.uint64(0))
+    rank[i, j] = np.minimum(count[token], (1 << 20) - 1).astype(np.uint64) << np.uint64(44) | value[i, j] >> np.uint64(20)
+    chosen = np.zeros(value.shape, dtype=bool)
+    for k in range(max(0, wide - each), min(wide, each) + 1):
+        has = np.flatnonzero((left >= size * k) & (right >= size * (wide - k)))
+        columns = np.concatenate([np.arange(k), each + np.arange(wide - k)])
+        for s in range(0, len(has), BLOCK):
+            at = has[s : s + BLOCK]
+            least = np.argpartition(rank[at][:, columns], misses, axis=1)[:, : misses + 1]
+            chosen[at[:, None], columns[least]] = True
+    picked = chosen[i, j] & (count[token] > 1)
+    return i[picked], token[picked]
+
+
 def near_repeats(key, doc, left, right, near, words: int, seed: int, agree: float):
-    """As ``exact_repeats``, of seeds: each row against the rows before it in its group until one agrees."""
+    """As ``exact_repeats``, of seeds: each row against those before it in its group until one agrees."""
     side = words - seed
     width, offsets = near.shape[1], side + 1
     misses = most_misses(words, agree)
@@ -316,21 +460,50 @@ def near_repeats(key, doc, left, right, near, words: int, seed: int, agree: floa
             out.append((a[found], low, high, doc[b[found]]))
         return held
 
-    start = _starts_of(key)
-    x = np.flatnonzero(start < np.arange(len(key)))
+    matched = np.zeros(len(key), dtype=bool)
+
+    def meet(a, b):
+        """Compares rows a with rows b of lesser documents where a is not matched yet."""
+        maybe = np.flatnonzero((doc[b] < doc[a]) & ~matched[a] & ((differ(before[a] ^ before[b]) <= misses) | (differ(after[a] ^ after[b]) <= misses)))
+        _, once = np.unique(a[maybe] * len(key) + b[maybe], return_index=True)
+        maybe = maybe[once]
+        matched[a[maybe[compare(a[maybe], b[maybe])]]] = True
+
+    # groups of a few rows are compared as they are, others where rows share a rare block
+    group = _starts_of(key)
+    entry = np.arange(len(key))
+    large = np.flatnonzero(np.bincount(group, minlength=len(key))[group] > FEW)
+    if len(large):
+        for words_of in (near[large, side + seed :], near[large, :side][:, ::-1]):  # those most alike first: next to each other by the words on one side
+            text = np.ascontiguousarray(words_of.astype(">u2")).view(f"V{2 * words_of.shape[1]}")[:, 0]
+            order = np.argsort(text, kind="stable")
+            alike = large[order[np.argsort(group[large[order]], kind="stable")]]
+            for away in range(1, FEW + 1):
+                a, b = alike[away:], alike[:-away]
+                same = group[a] == group[b]
+                a, b = a[same], b[same]
+                later = doc[a] > doc[b]
+                meet(np.where(later, a, b), np.where(later, b, a))
+        rare = _rare_blocks(key[large], left[large], right[large], near[large], side, seed, misses)
+        if rare is not None:
+            row, token = rare
+            order = np.lexsort((row, token))
+            few = np.setdiff1d(entry, large, assume_unique=True)
+            entry, group = np.append(few, large[row[order]]), np.append(group[few], len(key) + token[order])
+    start = _starts_of(group)
+    x = np.flatnonzero((start < np.arange(len(group))) & ~matched[entry])
     step = 0
     while len(x):  # those not matched yet against the next row of their group, itself matched or not
-        y = start[x] + step
-        maybe = np.flatnonzero((doc[y] < doc[x]) & ((differ(before[x] ^ before[y]) <= misses) | (differ(after[x] ^ after[y]) <= misses)))
-        left_over = start[x] + step + 1 < x
-        left_over[maybe[compare(x[maybe], y[maybe])]] = False
-        x = x[left_over]
+        meet(entry[x], entry[start[x] + step])
         step += 1
+        x = x[start[x] + step < x]
+        x = x[~matched[entry[x]] & (doc[entry[start[x] + step]] < doc[entry[x]])]
     return [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 4
 
 
 def islands(spans: np.ndarray):
-    """Sorted rows (doc_id, start, end, source doc_id): those of one document that overlap become one, of the least source."""
+    """Rows (doc_id, start, end, source doc_id): those of one document that overlap become one, of the least source."""
+    spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
     other = spans[1:, 0] != spans[:-1, 0]
     # by the document's place in the rows, as a doc_id may be of any size
     shift = np.append(np.zeros(1, np.int64), np.cumsum(other)) << 32
@@ -348,7 +521,7 @@ def _verify(contexts: DataFrame, words: int, gram: int, agree: float) -> DataFra
         if not len(own):
             return np.zeros((0, 4), np.int64)
         side = words - kinds[kind]
-        near = np.frombuffer(b"".join(table.column(5).take(pa.array(own)).to_pylist()), dtype=np.uint16).reshape(len(own), -1)
+        near = np.frombuffer(b"".join(table.column(5).take(pa.array(own)).to_pylist()), dtype=np.uint8).reshape(len(own), -1)
         key, doc, c, span, extra = (x[own] for x in (key, doc, c, span, extra))
         left, right = span >> 16, span & 0xFFFF
         if kind:  # places of one document with equal words around them are compared once
@@ -366,7 +539,7 @@ def _verify(contexts: DataFrame, words: int, gram: int, agree: float) -> DataFra
 
     def emit(batches):
         for table in _whole_groups(batches):
-            both = np.unique(np.concatenate([spans(table, kind) for kind in range(len(kinds))]), axis=0)
+            both = np.concatenate([spans(table, kind) for kind in range(len(kinds))])
             if len(both):
                 doc, start, end, source = islands(both)
                 cols = [doc, start.astype(np.int32), end.astype(np.int32), source]
@@ -380,10 +553,11 @@ def repeated_passages(docs: DataFrame, words: int = WORDS, gram: int = GRAM, agr
     """(doc_id, start, end, source_doc_id): words [start, end) of a document repeat a passage of one with a lesser doc_id."""
     small_batches(docs.sparkSession)
     source = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shared = _shared(_windows(source, words, gram, agree))
-    anchors = shared.groupBy("doc_id").agg(F.collect_set(F.struct("key", "centre", "extra")).alias("anchors"))
-    joined = source.join(anchors, "doc_id").select("doc_id", "text", "anchors")
-    spans = _verify(_contexts(joined, words, gram, agree), words, gram, agree)
+    shared = stored(_shared(_windows(source, words, gram, agree), gram))
+    anchors = shared.where("source_doc_id IS NULL").groupBy("doc_id").agg(F.collect_set(F.struct("code", "place")).alias("anchors"))
+    joined = _short(source).join(anchors, "doc_id").select("doc_id", "words", "anchors")
+    whole = shared.where("source_doc_id IS NOT NULL").select("doc_id", F.shiftright("place", 31).cast("int").alias("start"), F.col("place").bitwiseAND((1 << 31) - 1).cast("int").alias("end"), "source_doc_id")
+    spans = _verify(_contexts(joined, words, gram, agree), words, gram, agree).union(whole)
     order = W.partitionBy("doc_id").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
     island = spans.withColumn("new", F.when(F.col("start") <= reach, 0).otherwise(1)).withColumn("island", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
