@@ -1,19 +1,24 @@
 """Near-duplicate embeddings by cover trees and dual traversal.
 
 Vectors are scaled to length 1; two are near duplicates when their cosine is at
-least ``cosine``, that is when their distance is at most sqrt(2 - 2 cosine).  The
-root level of the tree is a set of pivots; every vector belongs to its nearest
-pivot, whose covering radius is the farthest of its own.  A vector also visits
-each earlier pivot's cell that it lies within the covering radius plus the
-threshold of.  Within a cell, trees of nested levels with halving radii are built
-over its own vectors and its visitors, and pairs of nodes are pruned where the
-distance of their centres exceeds both covering radii plus the threshold.  The
-pairs are exact, each found once.  A node whose points fall into too many groups at
-the next level that separates them stays a leaf, and is compared as a whole.
-
-Null ids, null vectors, vectors with a null or non-finite value or of length zero,
-and vectors whose dimension isn't the commonest one take no part.  Of rows with
-the same vec_id the first in value order counts.
+least ``cosine``, that is when their distance is at most sqrt(2 - 2 cosine).  Equal
+vectors are taken as one, with their number.  The upper levels of the tree are
+distributed: all vectors of one dimension are a cell, and a cell of more than
+``cell`` vectors is divided by pivots, each vector going to the nearest one, again
+and again until cells are small.  A pivot's covering radius is the distance of the
+farthest of its own.  A vector also visits each cell divided from the same one
+before its own, and each part of a cell that it visits already, if it lies within
+the covering radius plus the threshold of the pivot.  Within a cell, trees of nested
+levels with halving radii are built over its own vectors and its visitors.  Pairs of
+nodes are pruned where the distance of their centres exceeds both covering radii
+plus the threshold, and taken as a whole where even their farthest points lie within
+it.  Links are exact, each found in one cell.  A node whose points fall into too many
+groups at the next level that separates them stays a leaf, and is compared as a whole.
+
+Null ids, null vectors, vectors with a null or non-finite value or of length zero
+take no part and get no row.  Vectors of different dimensions are never near.  Of
+rows with the same vec_id the first in value order counts.  Other columns, whatever
+their names, are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,13 +26,17 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import PRIME, mix, stored
+from .simhash import components
 
 COSINE = 0.95
 CELL = 4096
-MOST_PIVOTS = 4096
+PIVOTS = 4096
+PART = 1 << 16
+BROADCAST_ROWS = 200_000
 LEAF = 48
 FAN_OUT = 64
 SAFETY = 1e-4
@@ -87,98 +96,269 @@ class Tree:
         self.children[at] = [self._node(g, c, scale, leaf) for g, c in groups]
         return at
 
+    def below(self, node: int) -> np.ndarray:
+        """All points of a node."""
+        found, stack = [], [node]
+        while stack:
+            k = stack.pop()
+            found.append(self.points[k])
+            stack += self.children[k]
+        return np.concatenate(found)
+
 
 def dual_pairs(a: Tree, b: Tree, reach: float, cosine: float):
     """Index pairs (of a, of b) whose vectors are within the threshold; with b = a, each pair once."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for x, y, near in _traverse(a, b, reach, cosine):
+        i, j = np.nonzero(near) if near is not None else (np.repeat(np.arange(len(x)), len(y)), np.tile(np.arange(len(y)), len(x)))
+        i, j = x[i], y[j]
+        if x is y:
+            i, j = i[i < j], j[i < j]
+        left.append(i)
+        right.append(j)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _traverse(a: Tree, b: Tree, reach: float, cosine: float):
+    """Yields (rows of a, rows of b, which pairs are near); None where all are.  The same array twice stands for the pairs within it."""
     if a.root < 0 or b.root < 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return
     same = a is b
-    left, right = [], []
     stack = [(a.root, b.root)]
     while stack:
         p, q = stack.pop()
-        if not (same and p == q):
-            gap = float(np.sqrt(max(0.0, 2 - 2 * float(a.x[a.centre[p]] @ b.x[b.centre[q]]))))
-            if gap > a.radius[p] + b.radius[q] + reach + SAFETY:
-                continue
-        if not a.children[p] and not b.children[q]:
+        alike = same and p == q
+        gap = 0.0 if alike else float(np.sqrt(max(0.0, 2 - 2 * float(a.x[a.centre[p]] @ b.x[b.centre[q]]))))
+        if gap > a.radius[p] + b.radius[q] + reach + SAFETY:
+            continue
+        if gap + a.radius[p] + b.radius[q] < reach - SAFETY:
+            x = a.below(p)
+            yield x, x if alike else b.below(q), None
+        elif not a.children[p] and not b.children[q]:
             x, y = a.points[p], b.points[q]
+            if alike and len(x) <= 1024:
+                yield x, x, a.x[x] @ a.x[x].T >= cosine
+                continue
             for k in range(0, len(x), 1024):
-                i, j = np.nonzero(a.x[x[k : k + 1024]] @ b.x[y].T >= cosine)
-                i, j = x[k + i], y[j]
-                if same and p == q:
-                    i, j = i[i < j], j[i < j]
-                left.append(i)
-                right.append(j)
-        elif same and p == q:
+                near = a.x[x[k : k + 1024]] @ b.x[y].T >= cosine
+                if alike:  # each pair once
+                    near &= x[k : k + 1024, None] < y[None, :]
+                yield x[k : k + 1024], y, near
+        elif alike:
             kids = a.children[p]
             stack += [(kids[i], kids[j]) for i in range(len(kids)) for j in range(i, len(kids))]
         elif a.children[p] and (not b.children[q] or a.radius[p] >= b.radius[q]):
             stack += [(k, q) for k in a.children[p]]
         else:
             stack += [(p, k) for k in b.children[q]]
-    return np.concatenate(left) if left else np.zeros(0, np.int64), np.concatenate(right) if right else np.zeros(0, np.int64)
 
 
-def near_pairs(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL) -> DataFrame:
-    """(vec_id_a, vec_id_b, cosine), vec_id_a < vec_id_b: every pair with at least this cosine."""
-    spark = vectors.sparkSession
-    whole = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < 1e30)) & F.exists("embedding", lambda v: v != 0)
-    rows = vectors.where(whole).groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min("embedding").alias("embedding"))
-    sizes = rows.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").collect()
-    schema = "vec_id_a long, vec_id_b long, cosine double"
-    if not sizes:
-        return spark.createDataFrame([], schema)
-    rows = cut(rows.where(F.size("embedding") == sizes[0].d))
-    number = int(min(MOST_PIVOTS, max(1, -(-sizes[0].n // cell))))
-    pivots = _matrix(rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(number).select("embedding").toArrow().column(0))
-    reach = float(np.sqrt(2 - 2 * cosine))
+def _united(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels (the least index of a group) after the groups of i and j are made one, pair by pair."""
+    while True:
+        x, y = label[i], label[j]
+        low, high = np.minimum(x, y), np.maximum(x, y)
+        if np.array_equal(low, high):
+            return label
+        np.minimum.at(label, high, low)
+        while True:
+            up = label[label]
+            if np.array_equal(up, label):
+                break
+            label = up
 
-    def unit(x: np.ndarray) -> np.ndarray:
-        return (x / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)).astype(np.float32)
 
-    pivots = unit(pivots)
-    shared = spark.sparkContext.broadcast(pivots)
+def links_within(x: np.ndarray, number: np.ndarray, own: np.ndarray, reach: float, cosine: float):
+    """(links, group) of each vector of a cell: ``number`` of vectors near it, itself left out, and the least index of its group.
 
-    def assign(batches):
-        for batch in batches:
-            x = unit(_matrix(batch.column(1)))
-            d = _distance(x, shared.value)
-            own = d.argmin(axis=1)
-            vectors = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * x.shape[1]), len(x), [None, pa.py_buffer(x.tobytes())]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.astype(np.int32)), pa.array(d[np.arange(len(x)), own]), vectors], names=["vec_id", "cell", "away", "vector"])
-
-    placed = cut(rows.select("vec_id", "embedding").mapInArrow(assign, "vec_id long, cell int, away float, vector binary"))
-    radius = np.full(len(pivots), -np.inf, dtype=np.float32)
-    for r in placed.groupBy("cell").agg(F.max("away").alias("r")).collect():
-        radius[r.cell] = r.r
-
-    def visit(batches):
+    Visitors are held against the cell's own vectors only.
+    """
+    mine, theirs = np.flatnonzero(own), np.flatnonzero(~own)
+    links, label = np.zeros(len(x), np.int64), np.arange(len(x))
+    tree = Tree(x[mine])
+    for other, rows in ((tree, mine), (Tree(x[theirs]), theirs)):
+        for p, q, near in _traverse(tree, other, reach, cosine):
+            within, p, q = p is q, mine[p], rows[q]
+            if near is None:
+                links[p] += number[q].sum()
+                if within:
+                    links[p] -= number[p]
+                else:
+                    links[q] += number[p].sum()
+                label = _united(label, np.append(p, q), np.append(np.full(len(p), q[0]), np.full(len(q), p[0])))
+                continue
+            if within:
+                np.fill_diagonal(near, False)
+                links[p] += near @ number[p]
+            else:
+                links[p] += near @ number[q]
+                links[q] += number[p] @ near
+            i, j = np.nonzero(near)
+            if len(i):
+                label = _united(label, p[i], q[j])
+    return links, label
+
+
+def _vectors(x: np.ndarray) -> pa.Array:
+    flat = np.ascontiguousarray(x, np.float32)
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * flat.shape[1]), len(flat), [None, pa.py_buffer(flat.tobytes())]).cast(pa.binary())
+
+
+def _numbers(column) -> np.ndarray:
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), np.float32).reshape(len(rows), -1) if rows else np.zeros((0, 0), np.float32)
+
+
+def _units(vectors: DataFrame) -> DataFrame:
+    """(vec_id, d, vector): valid vectors at length 1, one for each vec_id."""
+    value = F.col("embedding")
+    whole = F.col("vec_id").isNotNull() & value.isNotNull() & F.forall(value, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < 1e30)) & F.exists(value, lambda v: v != 0)
+    rows = vectors.where(whole).groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min("embedding").alias("embedding"))
+
+    def unit(batches):
         for batch in batches:
-            cells = batch.column(1).to_numpy()
-            x = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.float32).reshape(len(cells), -1)
-            near = _distance(x, shared.value) <= radius[None, :] + reach + SAFETY
-            near &= np.arange(len(radius))[None, :] < cells[:, None]
-            near[np.arange(len(cells)), cells] = True
+            size = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
+            for d in np.unique(size):
+                part = batch.filter(pa.array(size == d))
+                x = _matrix(part.column(1))
+                x = x / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.full(len(x), d, np.int32)), _vectors(x)], names=["vec_id", "d", "vector"])
+
+    return rows.select("vec_id", "embedding").mapInArrow(unit, "vec_id long, d int, vector binary")
+
+
+_ROW = "cell long, own boolean, vec_id long, n long, vector binary"
+
+
+def _divided(rows: DataFrame, cell: int, pivots: int, reach: float) -> DataFrame | None:
+    """The rows with each cell of more than ``cell`` own vectors divided; None if there is no such cell."""
+    size = stored(rows.where("own").groupBy("cell").agg(F.count("*").alias("size")).where(F.col("size") > cell))
+    many = size.count()
+    if not many:
+        return None
+    if many <= BROADCAST_ROWS:
+        size = F.broadcast(size)
+    order = W.partitionBy("cell").orderBy(F.xxhash64("vec_id"), "vec_id")
+    chosen = rows.where("own").join(size, "cell").withColumn("at", F.row_number().over(order)).where((F.col("at") <= pivots) & (F.col("at") <= F.ceil(F.col("size") / cell)))
+    chosen = stored(chosen.select("cell", F.col("at").cast("int").alias("at"), F.col("vector").alias("pivot")))
+    parts = stored(rows.groupBy("cell").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")).join(size, "cell"))
+    by_cell = F.broadcast(parts.select("cell", "parts")) if many <= BROADCAST_ROWS else parts.select("cell", "parts")
+    dealt = rows.join(by_cell, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")).drop("parts")
+
+    def beside(table: DataFrame) -> DataFrame:
+        """A copy of a cell's pivots for each of its parts."""
+        return table.join(by_cell, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+
+    def assign(mine: pa.Table, theirs: pa.Table) -> pa.Table:
+        at, p = theirs.column("at").to_numpy(), _numbers(theirs.column("pivot"))
+        x = _numbers(mine.column("vector"))
+        near, away = np.zeros(len(x), np.int32), np.zeros(len(x), np.float32)
+        for k in range(0, len(x), PART // 16):
+            d = _distance(x[k : k + PART // 16], p)
+            near[k : k + len(d)], away[k : k + len(d)] = at[d.argmin(axis=1)], d.min(axis=1)
+        near[~mine.column("own").to_numpy()] = np.iinfo(np.int32).max
+        return mine.drop_columns(["part"]).append_column("at", pa.array(near)).append_column("away", pa.array(away))
+
+    keys = ["cell", "part"]
+    placed = stored(dealt.groupBy(*keys).cogroup(beside(chosen).groupBy(*keys)).applyInArrow(assign, _ROW + ", at int, away float"))
+    radius = placed.where("own").groupBy("cell", "at").agg(F.max("away").alias("radius"))
+    known = chosen.join(radius, ["cell", "at"])
+
+    def visit(mine: pa.Table, theirs: pa.Table) -> pa.Table:
+        at, p, r = theirs.column("at").to_numpy(), _numbers(theirs.column("pivot")), theirs.column("radius").to_numpy()
+        x, own, home = _numbers(mine.column("vector")), mine.column("own").to_numpy(), mine.column("at").to_numpy()
+        rows_, columns = [], []
+        for k in range(0, len(x), PART // 16):
+            s = slice(k, k + PART // 16)
+            near = (_distance(x[s], p) <= r[None, :] + reach + SAFETY) & (at[None, :] < home[s, None])
+            near |= own[s, None] & (at[None, :] == home[s, None])
             i, j = np.nonzero(near)
-            take = pa.array(i)
-            yield pa.RecordBatch.from_arrays([pa.array(j.astype(np.int32)), pa.array(cells[i] == j), batch.column(0).take(take), batch.column(3).take(take)], names=["cell", "own", "vec_id", "vector"])
+            rows_.append(i + k)
+            columns.append(j)
+        i, j = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (rows_, columns))
+        with np.errstate(over="ignore"):
+            new = mix(mine.column("cell").to_numpy()[i].view(np.uint64) * np.uint64(PRIME) + at[j].astype(np.uint64), 3).view(np.int64)
+        kept = mine.select(["vec_id", "n", "vector"]).take(pa.array(i))
+        return pa.table([pa.array(new), pa.array(own[i] & (at[j] == home[i])), *kept.columns], names=["cell", "own", "vec_id", "n", "vector"])
+
+    placed = placed.join(by_cell, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")).drop("parts", "away")
+    fine = placed.groupBy(*keys).cogroup(beside(known).groupBy(*keys)).applyInArrow(visit, _ROW)
+    kept = rows.join(size.select("cell"), "cell", "left_anti")
+    return stored(kept.unionByName(fine))
+
+
+def _cells(units: DataFrame, cell: int, pivots: int, reach: float) -> DataFrame:
+    """Rows (vec_id, d, n, vector) as own vectors and visitors of small cells."""
+    rows = units.select(F.col("d").cast("long").alias("cell"), F.lit(True).alias("own"), "vec_id", "n", "vector")
+    largest = None
+    while True:
+        finer = _divided(rows, cell, pivots, reach)
+        if finer is None:
+            return rows
+        now = finer.where("own").groupBy("cell").count().agg(F.max("count")).first()[0]
+        rows = finer
+        if largest is not None and now > largest // 2:  # pivots don't tell these apart
+            return rows
+        largest = now
+
+
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL, pivots: int = PIVOTS) -> DataFrame:
+    """(vec_id, class_id, links) for every valid vector.
+
+    ``links`` is the number of other vectors with at least this cosine, ``class_id`` the least
+    vec_id among those that links lead to, step by step; a vector without links is its own class.
+    """
+    reach = float(np.sqrt(2 - 2 * cosine))
+    held = stored(_units(vectors))
+    name = [F.xxhash64("vector"), F.xxhash64(F.lit(1), "vector")]
+    held = held.select("*", name[0].alias("h"), name[1].alias("g"))
+    once = stored(held.groupBy("d", "h", "g").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n"), F.first("vector").alias("vector")))
 
     def meet(table: pa.Table) -> pa.Table:
-        ids, own = table.column("vec_id").to_numpy(), table.column("own").to_numpy()
-        x = np.frombuffer(b"".join(table.column("vector").to_pylist()), np.float32).reshape(len(ids), -1)
-        order = np.argsort(ids, kind="stable")
-        ids, own, x = ids[order], own[order], x[order]
+        order = np.argsort(table.column("vec_id").to_numpy(), kind="stable")
+        table = table.take(pa.array(order))
+        ids = table.column("vec_id").to_numpy()
+        links, group = links_within(_numbers(table.column("vector")), table.column("n").to_numpy(), table.column("own").to_numpy(), reach, cosine)
+        some = np.flatnonzero(links > 0)
+        return pa.table({"vec_id": ids[some], "links": links[some], "root": ids[group[some]]})
+
+    found = stored(_cells(once, cell, pivots, reach).groupBy("cell").applyInArrow(meet, "vec_id long, links long, root long"))
+    classes = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("doc_id", "vec_id")
+    links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
+    first = once.select("vec_id", "d", "h", "g", "n").join(links, "vec_id", "left").join(classes, "vec_id", "left")
+    first = first.select("vec_id", "d", "h", "g", "n", F.coalesce("group_id", "vec_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"))
+    copied = stored(first.where("n > 1").select("d", "h", "g", F.col("vec_id").alias("first"), "class_id", "links"))
+    if copied.count() <= BROADCAST_ROWS:
+        copied = F.broadcast(copied)
+    copies = held.join(copied, ["d", "h", "g"]).where("vec_id <> first")
+    columns = ["vec_id", "class_id", "links"]
+    return first.select(*columns).unionByName(copies.select(*columns))
+
+
+def near_pairs(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL, pivots: int = PIVOTS) -> DataFrame:
+    """(vec_id_a, vec_id_b, cosine), vec_id_a < vec_id_b: every pair with at least this cosine, equal vectors included.
+
+    For sets with few copies: ``near_duplicates`` gives classes and numbers of links in one row a vector.
+    """
+    reach = float(np.sqrt(2 - 2 * cosine))
+
+    def meet(table: pa.Table) -> pa.Table:
+        ids, own, x = table.column("vec_id").to_numpy(), table.column("own").to_numpy(), _numbers(table.column("vector"))
         mine, theirs = np.flatnonzero(own), np.flatnonzero(~own)
         tree = Tree(x[mine])
         a, b = dual_pairs(tree, tree, reach, cosine)
-        low, high = [mine[a]], [mine[b]]
-        a, b = dual_pairs(tree, Tree(x[theirs]), reach, cosine)
-        low.append(mine[a])
-        high.append(theirs[b])
-        low, high = np.concatenate(low), np.concatenate(high)
+        c, d = dual_pairs(tree, Tree(x[theirs]), reach, cosine)
+        low, high = np.append(mine[a], mine[c]), np.append(mine[b], theirs[d])
         value = np.einsum("ij,ij->i", x[low], x[high]).astype(np.float64)
         return pa.table({"vec_id_a": np.minimum(ids[low], ids[high]), "vec_id_b": np.maximum(ids[low], ids[high]), "cosine": value})
 
-    visits = placed.mapInArrow(visit, "cell int, own boolean, vec_id long, vector binary")
-    return visits.groupBy("cell").applyInArrow(meet, schema).withColumn("cosine", F.round("cosine", 4))
+    units = stored(_units(vectors)).withColumn("n", F.lit(1).cast("long"))
+    return _cells(units, cell, pivots, reach).groupBy("cell").applyInArrow(meet, "vec_id_a long, vec_id_b long, cosine double").withColumn("cosine", F.round("cosine", 4))
+
+
+ORACLE = f"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= {COSINE}),
+reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a)
+SELECT v.vec_id, (SELECT min(b) FROM reach r WHERE r.a = v.vec_id) AS class_id, (SELECT count(*) FROM pairs p WHERE p.a = v.vec_id) AS links FROM v
+"""

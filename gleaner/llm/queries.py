@@ -52,8 +52,8 @@ def op8_packing(spark, sf_dir):
 
 
 def op9_covertree(spark, sf_dir):
-    """All pairs of embeddings with a cosine of at least 0.95."""
-    return covertree.near_pairs(_table(spark, sf_dir, "embeddings"))
+    """Every embedding with its class of near duplicates (cosine of at least 0.95) and its number of links."""
+    return covertree.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
 def op10_bitplanes(spark, sf_dir):
@@ -63,4 +63,4 @@ def op10_bitplanes(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_mixing, op3_substrings, op4_quality, op5_html, op6_toxicity, op7_topk, op8_packing, op9_covertree, op10_bitplanes)}
 
-ORACLE_SQL = {"op2_mixing": mixing.ORACLE, "op7_topk": topk.ORACLE}
+ORACLE_SQL = {"op1_simhash": simhash.ORACLE, "op2_mixing": mixing.ORACLE, "op7_topk": topk.ORACLE, "op9_covertree": covertree.ORACLE}

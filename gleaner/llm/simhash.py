@@ -10,20 +10,23 @@ fingerprints within ``tau`` then lie within t_i of each other in some partition.
 
 Null, empty and word-free texts have no fingerprint and belong to no group.
 Equal fingerprints are collapsed before the search, so that thousands of exact
-copies cost one probe.  Repeated rows of one doc_id count once.  Rows without a
-doc_id are left out.  Other columns are ignored.
+copies cost one probe.  Repeated rows of one doc_id count once; of different texts
+under one doc_id that with the least fingerprint counts.  Rows without a doc_id are
+left out.  Very long texts are taken whole.  Other columns, whatever their names, are
+ignored, or carried through.  An empty table gives no groups.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, cut, fresh, mix, small_batches, text_chunks
+from .shared import PRIME, Words, cut, fresh, mix, small_batches, text_chunks
 
 BITS = 64
 TAU = 12
@@ -191,8 +194,8 @@ def plan(marked: DataFrame, tau: int = TAU, m: int = PARTITIONS):
         counts[k][key[part == k]] = count[part == k]
     costs = []
     for k, b in enumerate(parts):
-        most = min(tau, len(b), 6)
-        probes = np.array([0.0, *[float(len(masks(len(b), t))) for t in range(most + 1)]])
+        most = min(tau, len(b))
+        probes = np.cumsum([0.0, *[float(comb(len(b), t)) for t in range(most + 1)]])
         costs.append(candidates_by_radius(counts[k], most) + n * probes * 0.1)
     return parts, allocate(costs, tau - m + 1), n
 
@@ -205,7 +208,7 @@ def pairs(marked: DataFrame, tau: int = TAU, confirm: int = CONFIRM, m: int = PA
     The number of regions grows with the rows, so that one fits into memory.
     """
     parts, radius, n = plan(marked, tau, m)
-    top = int(min(10, max(4, np.ceil(np.log2(max(n, 1) / REGION_ROWS)))))
+    top = int(min(BITS // m, max(4, np.ceil(np.log2(max(n, 1) / REGION_ROWS)))))
 
     def route(batches):
         for batch in batches:
@@ -277,11 +280,11 @@ def _near(p, start, size, here, f, tau, confirm, most=1 << 20):
         at = to
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """(doc_id, group_id): connected components of edges (a, b) by alternating large and small stars."""
+def components(edges: DataFrame) -> DataFrame:
+    """(doc_id, group_id): connected components of edges (a, b) by alternating large and small stars, until nothing changes."""
     edges = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
     before = None
-    for _ in range(rounds):
+    while True:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
         large = both.where("b > a").withColumnRenamed("a", "u").join(least, "u").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
@@ -292,8 +295,6 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         if now == before:
             break
         before = now
-    else:
-        raise RuntimeError("components did not settle")
     return edges.select(F.col("b").alias("doc_id"), F.col("a").alias("group_id"))
 
 
@@ -302,9 +303,8 @@ def near_duplicates(docs: DataFrame, tau: int = TAU, confirm: int = CONFIRM, m:
 
     Groups are connected components of the pair relation.
     """
-    marked = cut(marks(docs))
-    alike = marked.groupBy("f0", "f1", "f2").agg(F.min("doc_id").alias("doc_id"))
-    alike = cut(alike.select("doc_id", "f0", "f1", "f2").groupBy("doc_id").agg(*[F.min_by(c, F.struct("f0", "f1", "f2")).alias(c) for c in ("f0", "f1", "f2")]))
+    marked = cut(marks(docs).groupBy("doc_id").agg(F.min(F.struct("f0", "f1", "f2")).alias("f")).select("doc_id", "f.*"))
+    alike = cut(marked.groupBy("f0", "f1", "f2").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "f0", "f1", "f2"))
     between = pairs(alike, tau, confirm, m)
     copies = marked.join(alike.withColumnRenamed("doc_id", "first"), ["f0", "f1", "f2"]).where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     linked = components(between.union(copies))
@@ -316,3 +316,41 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     name = fresh(docs, "dropped")
     drop = near_duplicates(docs, **options).where("doc_id <> group_id").select(F.col("doc_id").alias(name))
     return docs.join(drop, F.col("doc_id") == F.col(name), "left_anti")
+
+
+def _sql_mix(x: str, seed: int, name: str) -> str:
+    """Columns that end in ``name``: the 64-bit finaliser of x."""
+    times = lambda a, c: f"((({a})::UHUGEINT * {c}::UHUGEINT) % 18446744073709551616::UHUGEINT)::UBIGINT"
+    plus = (PRIME * (seed + 1)) % (1 << 64)
+    return (
+        f"((({x})::UHUGEINT + {plus}::UHUGEINT) % 18446744073709551616::UHUGEINT)::UBIGINT AS {name}_0, {times(f'xor({name}_0, {name}_0 >> 30)', 0xBF58476D1CE4E5B9)} AS {name}_1, "
+        f"{times(f'xor({name}_1, {name}_1 >> 27)', 0x94D049BB133111EB)} AS {name}_2, xor({name}_2, {name}_2 >> 31) AS {name}"
+    )
+
+
+def _sql_signs(column: str, name: str) -> str:
+    return " + ".join(f"CASE WHEN 2 * sum(({column} >> {p}) & 1) > count(*) THEN {1 << p}::UBIGINT ELSE 0::UBIGINT END" for p in range(BITS)) + f" AS {name}"
+
+
+ORACLE = f"""
+WITH RECURSIVE lists AS (SELECT doc_id, regexp_extract_all(lower(text), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place, len(w) AS n FROM lists),
+spelt AS (SELECT DISTINCT word, hex(word) AS x FROM words),
+valued AS (SELECT word, (list_reduce(list_transform(range(len(x) // 2 - 1, -1, -1), lambda i: (('0x' || substr(x, CAST(2 * i + 1 AS BIGINT), 2))::INTEGER + 1)::UHUGEINT),
+  lambda a, b: (a * {PRIME}::UHUGEINT + b) % 18446744073709551616::UHUGEINT) + (len(x) // 2)::UHUGEINT) % 18446744073709551616::UHUGEINT AS value FROM spelt),
+hashed AS (SELECT word, {_sql_mix('value', 0, 'h')} FROM valued),
+placed AS (SELECT doc_id, place, n, h, lead(h) OVER (PARTITION BY doc_id ORDER BY place) AS after FROM words JOIN hashed USING (word)),
+singles AS (SELECT DISTINCT doc_id, h >> 22 AS key FROM placed),
+marked_singles AS (SELECT doc_id, {_sql_mix('key', 1, 'a')} FROM singles),
+first AS (SELECT doc_id, {_sql_signs('a', 'f0')} FROM marked_singles GROUP BY doc_id),
+paired AS (SELECT doc_id, CASE WHEN n = 1 THEN h::UHUGEINT ELSE ((h::UHUGEINT * {0xD6E8FEB86659FD93}::UHUGEINT) % 18446744073709551616::UHUGEINT + after::UHUGEINT) % 18446744073709551616::UHUGEINT END AS value FROM placed WHERE n = 1 OR after IS NOT NULL),
+mixed AS (SELECT doc_id, {_sql_mix('value', 0, 'p')} FROM paired),
+doubles AS (SELECT DISTINCT doc_id, p >> 22 AS key FROM mixed),
+marked_doubles AS (SELECT doc_id, {_sql_mix('key', 11, 'b')}, {_sql_mix('key', 12, 'c')} FROM doubles),
+second AS (SELECT doc_id, {_sql_signs('b', 'f1')}, {_sql_signs('c', 'f2')} FROM marked_doubles GROUP BY doc_id),
+marked AS MATERIALIZED (SELECT * FROM first JOIN second USING (doc_id)),
+pairs AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM marked a JOIN marked b ON a.doc_id <> b.doc_id
+  WHERE bit_count(xor(a.f0, b.f0)::HUGEINT) <= {TAU} AND bit_count(xor(a.f1, b.f1)::HUGEINT) + bit_count(xor(a.f2, b.f2)::HUGEINT) <= {CONFIRM}),
+reach(a, b) AS (SELECT DISTINCT a, a FROM pairs UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a)
+SELECT a AS doc_id, min(b) AS group_id FROM reach GROUP BY a
+"""

@@ -96,6 +96,23 @@ def test_simhash_finds_near_copies(spark):
     assert all(d in touching or d not in grams for d in group)
 
 
+def test_simhash_equals_sql(spark):
+    assert oracle.compare(queries.op1_simhash(spark, MIDDLE), oracle.connect(MIDDLE), simhash.ORACLE)[0]
+
+
+def test_simhash_of_a_repeated_id(spark):
+    """Of two texts under one doc_id one counts, and copies of the other still find each other."""
+    rng = random.Random(8)
+    a, b = (" ".join(f"{k}{rng.randrange(10**6)}" for _ in range(200)) for k in "ab")
+    group = {(r.doc_id, r.group_id) for r in simhash.near_duplicates(documents(spark, [(5, a), (5, b), (9, a), (12, a), (14, b), (16, b)])).collect()}
+    assert group in ({(5, 5), (9, 5), (12, 5), (14, 14), (16, 14)}, {(5, 5), (14, 5), (16, 5), (9, 9), (12, 9)})
+
+
+def test_simhash_of_far_bounds():
+    costs = [np.arange(9.0)] * 4
+    assert sum(simhash.allocate(costs, 25)) == 25
+
+
 def test_simhash_thresholds():
     costs = [np.array([0.0, 5, 20, 60]), np.array([0.0, 1, 2, 3]), np.array([0.0, 9, 9, 90])]
     chosen = simhash.allocate(costs, 1)
@@ -452,6 +469,42 @@ def test_covertree_pairs_equal_brute_force(spark):
         assert len(found) == len(set(found)) and sure <= set(found) <= maybe and len(found) > 500
 
 
+def classes_by_brute_force(ids, x, cosine=0.95):
+    """{vec_id: (class, links)} and the pairs too close to the threshold to call."""
+    u = x / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    s = u @ u.T
+    assert not (abs(s - cosine) < 1e-6).any()
+    near = (s >= cosine) & ~np.eye(len(x), dtype=bool)
+    group = dict(zip(ids, ids))
+    find = lambda k: k if group[k] == k else find(group[k])
+    for i, j in zip(*np.nonzero(near)):
+        a, b = find(ids[i]), find(ids[j])
+        group[max(a, b)] = min(a, b)
+    return {k: (find(k), int(n)) for k, n in zip(ids, near.sum(axis=1))}
+
+
+def test_covertree_classes_equal_brute_force(spark):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(30, 16))
+    x = np.concatenate([centres[k % 30] + rng.normal(size=16) * rng.choice([0.005, 0.1, 0.4]) for k in range(800)]).reshape(800, 16).astype(np.float32)
+    x[200:260] = x[200]
+    x[300] = 2 * x[200]
+    ids = sorted({int(k) for k in rng.integers(0, 1 << 40, 900)})[:800]
+    rng.shuffle(ids)
+    expected = classes_by_brute_force(ids, x)
+    odd = np.eye(5, dtype=np.float32)[[0, 0, 1]]  # of another dimension
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in zip(ids + [-1, -2, -3], [*x, *odd])], "vec_id long, embedding array<float>")
+    expected |= {-1: (-2, 1), -2: (-2, 1), -3: (-3, 0)}
+    for cell, pivots in ((4096, 4096), (60, 4096), (40, 3)):  # one cell, one level of pivots, several levels
+        found = covertree.near_duplicates(rows, cell=cell, pivots=pivots).collect()
+        assert len(found) == len(expected) and {r.vec_id: (r.class_id, r.links) for r in found} == expected
+    assert sum(n for _, n in expected.values()) > 5000
+
+
+def test_covertree_equals_sql(spark):
+    assert oracle.compare(queries.op9_covertree(spark, MIDDLE), oracle.connect(MIDDLE), covertree.ORACLE)[0]
+
+
 def test_covertree_supplied_vectors(spark):
     rows = table(spark, "embeddings", MIDDLE).toPandas()
     x = np.stack(rows.embedding).astype(np.float64)
@@ -471,6 +524,10 @@ def test_covertree_awkward(spark):
     assert covertree.near_pairs(found.limit(0)).count() == 0
     same = spark.range(300).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.lit(2.0)).cast("array<float>").alias("embedding"))
     assert covertree.near_pairs(same).count() == 300 * 299 // 2
+    assert {(r.class_id, r.links) for r in covertree.near_duplicates(same).collect()} == {(0, 299)}
+    out = {r.vec_id: (r.class_id, r.links) for r in covertree.near_duplicates(found).collect()}
+    assert out == {1: (1, 2), 2: (1, 2), 6: (6, 0), 8: (1, 2)}
+    assert covertree.near_duplicates(found.limit(0)).count() == 0
 
 
 # 10
