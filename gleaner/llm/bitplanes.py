@@ -36,10 +36,14 @@ SCHEMA = (
 
 def load(path: str):
     """A byte-level BPE encoder from a file of base64 tokens and ranks."""
+    with open(path, "rb") as f:
+        return encoder_of(f.read())
+
+
+def encoder_of(content: bytes):
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}
     return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
@@ -75,13 +79,18 @@ def decode(n_ids: int, id_bytes: int, planes, payload: bytes) -> np.ndarray:
 
 
 def blocks(docs: DataFrame, tokenizer: str = TOKENIZER, block: int = BLOCK, bits: bool = True, level: int = LEVEL) -> DataFrame:
-    """One row a block: shard and block number, planes, payload and the parts of documents it holds."""
+    """One row a block: shard and block number, planes, payload and the parts of documents it holds.
+
+    The driver reads the vocabulary (a file of a few MB) and sends it to the executors.
+    """
+    with open(tokenizer, "rb") as f:
+        vocabulary = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def write(batches):
         import zstandard
         from pyspark import TaskContext
 
-        encoder = load(tokenizer)
+        encoder = encoder_of(vocabulary.value)
         kind = np.dtype("<u2" if encoder.n_vocab <= 1 << 16 else "<u4")
         shrink = zstandard.ZstdCompressor(level=level).compress
         shard, made, held, parts, room = TaskContext.get().partitionId(), 0, [], [], block

@@ -4,12 +4,16 @@ Events of the standard library's streaming parser build lines: block tags, line
 breaks and new lines end a line, and each line counts its text characters and
 its tags.  The ratio of the two is smoothed over neighbouring lines by a
 Gaussian kernel, and lines are content where the smoothed ratio exceeds
-``factor`` standard deviations of the page's smoothed ratios.  The text of
-scripts, styles, templates and of the head is no text.
+``factor`` standard deviations of the page's smoothed ratios.  For the deviation
+ratios count up to their ``BOUND`` quantile only, so that one very long line doesn't
+set the threshold for the others.  The text of scripts, styles, templates and of the
+head is no text.  A head that is never closed ends at the first block of
+the body; the text of a ``noscript`` or ``template`` that is never closed is text.
 
 A null page gives a null text; an empty one, or one without text, an empty text.
 A page whose lines all have the same ratio is content as a whole.  Pages are read
-whole, in pieces of ``FEED`` characters.  Repeated rows give equal rows.
+whole, in pieces of ``FEED`` characters.  Repeated rows give equal rows.  Other
+columns, whatever their names, are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,11 +28,14 @@ from pyspark.sql.pandas.functions import arrow_udf
 
 SIGMA = 1.0
 FACTOR = 0.8
+BOUND = 0.9
 FEED = 1 << 16
 BLOCKS = frozenset(
     "address article aside blockquote body br caption dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
 SILENT = frozenset("script style template noscript title head".split())
+#: What a head or a hidden element that has been left open may still hold: any other block ends it.
+INSIDE = frozenset("head title meta link base script style template noscript html".split())
 
 
 class Lines(HTMLParser):
@@ -42,6 +49,7 @@ class Lines(HTMLParser):
         self.parts: list[str] = []
         self.tags = 0
         self.silent: list[str] = []
+        self.hidden: list[str] = []
 
     def end_line(self) -> None:
         if self.parts or self.tags:
@@ -52,7 +60,9 @@ class Lines(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
             self.end_line()
-            if self.silent and tag == "body":
+            if self.hidden:
+                self.hidden.append("\n")
+            if self.silent and (tag == "body" or self.silent[-1] in ("head", "title") and tag not in INSIDE):
                 self.silent.clear()
         if tag in SILENT:
             self.silent.append(tag)
@@ -67,12 +77,23 @@ class Lines(HTMLParser):
         if tag in self.silent:
             while self.silent.pop() != tag:
                 pass
+            self.hidden.clear()
         self.tags += 1
         if tag in BLOCKS:
             self.end_line()
 
+    def show_hidden(self) -> None:
+        """At the end: the text of a hidden element that was never closed is text after all."""
+        held, self.hidden = self.hidden, []
+        if self.silent and self.silent[-1] in ("noscript", "template"):
+            self.silent.clear()
+            for data in held:
+                self.handle_data(data)
+
     def handle_data(self, data):
         if self.silent:
+            if self.silent[-1] in ("noscript", "template"):
+                self.hidden.append(data)
             return
         pieces = data.split("\n")
         for piece in pieces[:-1]:
@@ -87,6 +108,7 @@ def lines_of(html: str) -> list[tuple[str, int]]:
     for k in range(0, len(html), FEED):
         parser.feed(html[k : k + FEED])
     parser.close()
+    parser.show_hidden()
     parser.end_line()
     return [x for x in parser.lines if x[0] or x[1]]
 
@@ -106,7 +128,7 @@ def content(html: str, sigma: float = SIGMA, factor: float = FACTOR) -> tuple[st
         return "", 0, 0
     ratio = np.array([len(t) / max(1, n) for t, n in lines])
     smooth = smoothed(ratio, sigma)
-    spread = smooth.std()
+    spread = np.minimum(smooth, np.quantile(smooth, BOUND)).std()
     chosen = smooth > factor * spread if spread > 1e-9 * max(1.0, smooth.max()) else np.ones(len(lines), bool)
     kept = [t for (t, _), c in zip(lines, chosen) if c and t]
     return "\n".join(kept), len(lines), len(kept)

@@ -10,7 +10,8 @@ its own; sources without characters, or without a target weight where weights
 are given, get no copies.  Null and empty texts count no characters but are
 repeated at their source's rate.  Repeated rows get equal counts.  A null doc_id
 hashes as an empty string.  Input columns called ``copy`` or ``shuffle_key`` are
-replaced; all others are carried through.  An empty table gives an empty table.
+replaced; all others are carried through, very long texts whole.  An empty table
+gives an empty table.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ their slots by their rank within their length.
 
 Null and empty texts have no tokens and take no slot.  Repeated rows are packed
 as often as they occur; rows that tie in doc_id and length may swap places,
-which leaves the result the same.  Other columns are ignored.
+which leaves the result the same.  Very long texts take as many pieces as they need.
+Other columns, whatever their names, are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -10,6 +10,8 @@ of every text is scored.
 
 Null and empty texts have no passage: their quality is null and they are not
 kept.  Without labels of both classes every quality is null and nothing is kept.
+Repeated rows score alike; very long texts are scored whole, passage by passage.
+Other columns, whatever their names, are ignored; an empty table gives an empty one.
 """
 
 from __future__ import annotations

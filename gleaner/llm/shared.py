@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,7 +22,10 @@ BATCH_BYTES = 8 << 20
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; one of our own only where the setting is empty (tests)."""
+    """The shared folder named by the cluster; a temporary one only on a single machine (tests), where none is named.
+
+    A cluster without such a folder is an error: its executors don't share a machine's own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     held = context.getCheckpointDir()
@@ -30,6 +34,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(folder)
         return folder
     if not held:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
         held = context.getCheckpointDir()
     return held
@@ -48,14 +54,20 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def size_of(text: str) -> int:
+    """Bytes of a size setting such as 4m, 64kb or 1048576; plain numbers are bytes."""
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([a-z]*)\s*", text.lower()).groups()
+    return int(number) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}[unit[:1] if unit != "b" else ""]
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of at most ``BATCH_BYTES`` for long texts: a batch is held several times over, on both sides of the pipe.
 
-    A lower limit that the session already has stays.
+    Plans read this setting of the session when they run, so it stays for later queries of
+    the session as well; it changes no result.  A lower limit that the session has stays.
     """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    text = spark.conf.get(name).strip().lower().removesuffix("b")
-    held = int(text) if text.lstrip("-").isdigit() else -1
+    held = size_of(spark.conf.get(name))
     if held <= 0 or held > BATCH_BYTES:
         spark.conf.set(name, f"{BATCH_BYTES}b")
 

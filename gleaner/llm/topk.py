@@ -11,7 +11,10 @@ order.  Results are exactly those of scoring every document.
 
 Ties go to the lesser doc_id.  Documents and queries without a word, or null, match
 nothing; a document scores only if it shares a term with the query.  Rows of one
-doc_id are documents of their own for the counts, and the best of them is kept.
+item_id are one query that has the terms of all of them.  Rows of one doc_id are
+documents of their own for the counts, and the best of them is kept.  Very long texts
+are taken whole; other columns, whatever their names, are ignored; an empty table of
+documents or queries gives no rows.
 Queries are sent to the shards in groups of at most ``group_bytes`` of text, with
 one pass over the documents for each group.
 """
@@ -146,18 +149,20 @@ def _search(docs: DataFrame, queries: list[tuple[int, np.ndarray]], terms: np.nd
 def top_documents(docs: DataFrame, queries: DataFrame, k: int = K, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """(item_id, rank, doc_id, score): the k best documents of every query row (item_id, text)."""
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    asked = queries.where("item_id IS NOT NULL AND text IS NOT NULL").groupBy(F.col("item_id").cast("long").alias("item_id")).agg(F.min("text").alias("text"))
+    asked = queries.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     size = asked.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     groups = max(1, -(-int(size) // group_bytes))
     found = None
     for g in range(groups):
         table = asked.where(F.pmod(F.xxhash64("item_id"), F.lit(groups)) == g).toArrow().sort_by("item_id")
-        ids, wanted = table.column("item_id").to_numpy(), []
-        for _, data, offsets in text_chunks(table.column("text")):
+        ids, wanted = table.column("item_id").to_numpy(), {}
+        for first, data, offsets in text_chunks(table.column("text")):
             w = Words(data, offsets)
-            wanted += [np.unique(w.hash[w.first[i] : w.first[i + 1]]) for i in range(len(offsets) - 1)]
-        terms = np.unique(np.concatenate([np.zeros(0, np.uint64), *wanted]))
-        prepared = [(int(i), np.searchsorted(terms, x)) for i, x in zip(ids, wanted) if len(x)]
+            for i in range(len(offsets) - 1):
+                wanted.setdefault(int(ids[first + i]), []).append(w.hash[w.first[i] : w.first[i + 1]])
+        wanted = {i: np.unique(np.concatenate(x)) for i, x in wanted.items()}
+        terms = np.unique(np.concatenate([np.zeros(0, np.uint64), *wanted.values()]))
+        prepared = [(i, np.searchsorted(terms, x)) for i, x in wanted.items() if len(x)]
         part = _search(docs, prepared, terms, k)
         found = part if found is None else found.union(part)
     found = found.groupBy("item_id", "doc_id").agg(F.max("score").alias("score"))

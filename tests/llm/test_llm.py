@@ -358,6 +358,38 @@ def test_html_keeps_the_article():
     assert kept == 8 < lines
 
 
+def test_html_of_unclosed_elements():
+    assert html.content("<html><head><p>hello world text")[0] == "hello world text"
+    assert html.content("<head><title>T<div>hello</div>")[0] == "hello"
+    shown = [x for x, _ in html.lines_of("<body><p>before</p><noscript><p>inside</p><p>after it all</p></body>") if x]
+    assert shown == ["before", "inside", "after it all"]
+    assert html.content("<body><p>shown</p><template><p>hidden</p></template><p>shown too</p></body>")[0] == "shown\nshown too"
+    assert html.content("<body><p>shown</p><noscript>hidden</noscript></body>")[0] == "shown"
+
+
+def test_html_one_long_line_leaves_the_others():
+    lines = [f"<p>{'word ' * 30}{k}</p>" for k in range(60)]
+    lines.insert(20, f"<p>{'long ' * 4000}</p>")
+    text, _, kept = html.content("<body>" + "".join(lines) + "</body>")
+    assert kept == 61
+
+
+def test_html_keeps_the_text_of_articles(spark):
+    """Of the characters inside the article element of the supplied pages at least 0.95 are kept, and of most others none."""
+    inside = outside = kept = lost = 0
+    for r in table(spark, "pages", MIDDLE).collect():
+        found = re.search(r"(?is)<article[^>]*>(.*?)</article>", r.html or "")
+        if found:
+            article = {x for x, _ in html.lines_of(found[1]) if x}
+            chosen = set(html.content(r.html)[0].split("\n"))
+            for x, _ in html.lines_of(r.html):
+                if x in article:
+                    inside, kept = inside + len(x), kept + len(x) * (x in chosen)
+                elif x:
+                    outside, lost = outside + len(x), lost + len(x) * (x in chosen)
+    assert inside and kept >= 0.95 * inside and lost <= 0.4 * outside
+
+
 def test_html_feed_in_pieces_changes_nothing(spark, monkeypatch):
     pages = [r.html for r in table(spark, "pages").collect()][:40]
     whole = [html.content(p) for p in pages]
@@ -394,6 +426,12 @@ def test_topk_awkward(spark, awkward):
     assert topk.top_documents(awkward, asked.limit(0)).count() == 0
 
 
+def test_topk_rows_of_one_item_are_one_query(spark):
+    docs = documents(spark, [(1, "alpha here"), (2, "gamma there"), (3, "beta")])
+    asked = spark.createDataFrame([(1, "alpha"), (1, "gamma"), (2, "beta")], "item_id long, text string")
+    assert {(r.item_id, r.doc_id) for r in topk.top_documents(docs, asked).collect()} == {(1, 1), (1, 2), (2, 3)}
+
+
 def test_topk_query_groups_change_nothing(spark, docs):
     asked = table(spark, "benchmark")
     one = {tuple(r) for r in topk.top_documents(docs, asked).collect()}
@@ -567,6 +605,14 @@ def test_bitplanes_awkward(spark, awkward):
     assert bitplanes.blocks(awkward.limit(0)).count() == 0
 
 
+# shared
+
+def test_sizes_are_read_in_their_units():
+    from gleaner.llm.shared import size_of
+
+    assert [size_of(x) for x in ("4m", "64KB", "1048576", "1g", "-1", "8388608b", " 2mb ")] == [4 << 20, 64 << 10, 1 << 20, 1 << 30, -1, 8 << 20, 2 << 20]
+
+
 # pipeline
 
 def test_pipeline_stages(spark, tmp_path):
