@@ -15,7 +15,7 @@ from pyspark.sql.types import StringType
 _URL = r"(?i)^([a-z][a-z0-9+.\-]*)://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:@\s\[\]]+)(?::(\d*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z"
 
 TRACKING = set("vero_id vero_conv tracking spm ref_ ref ocid msclkid mkt_tok mc_eid mc_cid igshid gclid ga_term ga_source ga_medium ga_content ga_campaign fbclid dclid cmpid campaign _gl _ga".split())
-DISCOVERY_TRACKING = r"(?i)^(?:mc_[ce]id|[gf]b?clid|utm_(?:id|content|term|campaign|medium|source))\z"
+DISCOVERY_TRACKING = r"(?i)^(?:mc_[ce]id|fbclid|gclid|utm_(?:id|content|term|campaign|medium|source))\z"
 
 SKIP_SEGMENTS = "search account cart shop jobs careers event events podcasts podcast videos video tags tag authors author newsletter advertise contact about terms privacy subscription subscribe signup signin login".split()
 SKIP_EXTENSIONS = "ico js css mov avi mp3 mp4 zip pdf svg webp gif png jpeg jpg".split()

@@ -27,12 +27,11 @@ def lookup(inputs: DataFrame, articles: DataFrame, input_id: str = "input_id", k
 
     ``rank`` is the position of that key.  Null keys match nothing.
     """
-    parts = []
-    for rank, key in enumerate(keys):
-        left = inputs.select(input_id, F.col(key).alias("_key")).where("_key IS NOT NULL")
-        right = articles.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min("id").alias("id"))
-        parts.append(left.join(right, "_key").select(input_id, "id", F.lit(rank).alias("rank")))
-    return first_seen(reduce(DataFrame.unionByName, parts), [input_id], [F.col("rank"), F.col("id")])
+    by_rank = F.posexplode(F.array(*keys)).alias("rank", "_key")
+    left = inputs.select(input_id, by_rank).where("_key IS NOT NULL")
+    right = articles.select("id", by_rank).where("_key IS NOT NULL").groupBy("rank", "_key").agg(F.min("id").alias("id"))
+    best = left.join(right, ["rank", "_key"]).groupBy(input_id).agg(F.min(F.struct("rank", "id")).alias("_best"))
+    return best.select(input_id, "_best.id", "_best.rank")
 
 
 def duplicates(inputs: DataFrame, articles: DataFrame, input_id: str = "input_id", keys=("content_hash", "canonical_url"), own_id: str | None = None) -> DataFrame:
@@ -59,19 +58,20 @@ def without_matches(inputs: DataFrame, articles: DataFrame, keys=KEYS) -> DataFr
     return inputs
 
 
-def admitted(inputs: DataFrame, order: str, existing: DataFrame | None = None, keys=KEYS, cut=None, rounds: int = 100) -> DataFrame:
+def admitted(inputs: DataFrame, order: str, existing: DataFrame | None = None, keys=KEYS, cut=None) -> DataFrame:
     """The inputs that one-by-one insertion would accept: each only if no accepted row shares a key with it.
 
     Rounds of set operations: a row that comes first under each of its keys is accepted,
     rows that share a key with an accepted one are refused, and the rest goes on.  Note
     that this isn't one row for each connected component.  ``cut`` ends a plan's lineage
-    between rounds (a reliable checkpoint by default).
+    between rounds (a reliable checkpoint by default).  Each round settles at least the first
+    row of every group that is left, so rounds end; a chain of rows takes half as many.
     """
     cut = cut or session.cut
     left = inputs if existing is None else without_matches(inputs, existing, keys)
     left = cut(left)
     accepted = []
-    for _ in range(rounds):
+    while True:
         first = reduce(lambda a, b: a & b, [F.col(k).isNull() | (F.col(order) == F.min(order).over(W.partitionBy(k))) for k in keys])
         flagged = cut(left.withColumn("_first", first))
         taken = flagged.where("_first").drop("_first")
@@ -79,7 +79,6 @@ def admitted(inputs: DataFrame, order: str, existing: DataFrame | None = None, k
         left = cut(without_matches(flagged.where("NOT _first").drop("_first"), taken, keys))
         if left.isEmpty():
             return reduce(DataFrame.unionByName, accepted)
-    raise RuntimeError("admission did not settle")
 
 
 def outcomes(inputs: DataFrame, articles: DataFrame, order: str = "input_id") -> DataFrame:

@@ -140,22 +140,34 @@ def clear_legacy(urls: DataFrame, as_of: Column, reason: str = LEGACY) -> DataFr
     return _set(urls, (F.col("status") == "pending") & F.col("source_job_id").isNull(), status="skipped", crawled_at=as_of, failed_reason=reason)
 
 
-def mark_urls(rows: DataFrame, changes: DataFrame, as_of: Column, key: str = "url_id") -> DataFrame:
-    """Sets statuses from (key, new_status, reason): all but pending count an attempt and stamp the time."""
-    latest = changes.select(F.col(key).alias("_id"), "new_status", "reason")
-    out = rows.join(latest, rows[key] == latest["_id"], "left")
+def mark_urls(rows: DataFrame, changes: DataFrame, as_of: Column, key: str | list[str] = "url_id", order: Column | None = None) -> DataFrame:
+    """Sets statuses from (key, new_status, reason): all but pending count an attempt and stamp the time.
+
+    Of several changes for one key the last in ``order`` stays (by status and reason where no
+    order is given) and each counts its attempt, as if they had come one by one.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
     done = F.col("new_status") != "pending"
-    out = out.withColumn("crawl_attempt_count", F.col("crawl_attempt_count") + F.coalesce(done.cast("int"), F.lit(0)))
-    out = _set(out, F.col("_id").isNotNull(), failed_reason=F.col("reason"), crawled_at=F.when(done, as_of))
-    return _set(out, F.col("_id").isNotNull(), status=F.col("new_status")).drop("_id", "new_status", "reason")
+    value = F.struct("new_status", "reason")
+    last = changes.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max_by(value, order if order is not None else value).alias("_v"), F.count_if(done).cast("int").alias("_tries"))
+    on = [rows[k] == last[f"_{k}"] for k in keys]
+    hit = F.col("_v").isNotNull()
+    out = rows.join(last, on, "left").withColumn("crawl_attempt_count", F.col("crawl_attempt_count") + F.coalesce("_tries", F.lit(0)))
+    out = _set(out, hit, status=F.col("_v.new_status"), failed_reason=F.col("_v.reason"), crawled_at=F.when(F.col("_v.new_status") != "pending", as_of))
+    return out.drop("_v", "_tries", *[f"_{k}" for k in keys])
 
 
 def link_articles(links: DataFrame, found: DataFrame) -> DataFrame:
-    """Sets article_id of (source_job_id, url_id) pairs."""
-    new = found.select("source_job_id", "url_id", F.col("article_id").alias("_article"))
+    """Sets article_id of (source_job_id, url_id) pairs; of several for one pair the greatest stays."""
+    new = found.groupBy("source_job_id", "url_id").agg(F.max("article_id").alias("_article"))
     return links.join(new, ["source_job_id", "url_id"], "left").withColumn("article_id", F.coalesce("_article", "article_id")).drop("_article")
 
 
+def retry_failed(links: DataFrame, job_id: int) -> DataFrame:
+    """The failed URLs of a job are pending again."""
+    return _set(links, (F.col("source_job_id") == job_id) & (F.col("status") == "failed"), status="pending", failed_reason=None, crawled_at=None)
+
+
 def status_counts(jobs: DataFrame, statuses=STATUSES) -> DataFrame:
     """(status, n) with every status, 0 where none, and the total."""
     dim = jobs.sparkSession.createDataFrame([(k, s) for k, s in enumerate(statuses)], "ord int, status string")

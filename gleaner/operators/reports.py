@@ -41,6 +41,14 @@ def missing_months(observed: DataFrame, as_of: Column, days: int = 365) -> DataF
     return expected_months(observed.sparkSession, as_of, days).join(observed, "month", "left_anti")
 
 
+def missing_months_by(articles: DataFrame, by: list[str], as_of: Column, days: int = 365) -> DataFrame:
+    """(by..., month): the expected months in which a group has no article inside the window."""
+    groups = articles.select(*by).distinct().withColumn("_m", F.explode(dates.months(as_of, days)))
+    expected = groups.select(*by, F.date_format("_m", "yyyy-MM").alias("month"))
+    seen = articles.where(dates.in_window(F.col("published_at"), as_of, days)).select(*by, F.date_format("published_at", "yyyy-MM").alias("month")).distinct()
+    return expected.join(seen, [*by, "month"], "left_anti")
+
+
 def date_profile(accepted: DataFrame, as_of: Column, days: int = 365, minutes: int = 15) -> DataFrame:
     """One row: count, least and greatest date string, and how many are unknown, invalid, too old or ahead.
 

@@ -1,12 +1,14 @@
 """Tables as Parquet folders, their schemas and constraints.
 
-One writer at a time: a table is replaced by writing a new version beside the old
-one and then moving its name, so a reader or a failed job never sees half of one.
+A table is the parts that its latest manifest lists.  A write adds parts and then the
+next manifest, which is created or refused as a whole, so a reader or a failed job
+never sees half of one, and of two writers one fails.  All goes through Hadoop's file
+systems: a folder may lie in any store that the cluster shares.
 """
 
 from __future__ import annotations
 
-import os
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,34 +37,73 @@ class Store:
     """Named tables below a folder.  Missing ones read as empty, missing columns as null."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
-        os.makedirs(folder, exist_ok=True)
-
-    def _pointer(self, name: str) -> str:
-        return os.path.join(self.folder, f"{name}.current")
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _path(self, *parts: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.folder, *parts)))
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _manifests(self, name: str) -> list[int]:
+        path, files = self._path(f"{name}.manifests")
+        return sorted(int(f.getPath().getName()) for f in files.listStatus(path) if f.getPath().getName().isdigit()) if files.exists(path) else []
+
+    def _parts(self, name: str) -> tuple[int, list[str]]:
+        """Number and parts of the latest manifest; 0 and none where there is no table."""
+        known = self._manifests(name)
+        if not known:
+            return 0, []
+        path, _ = self._path(f"{name}.manifests", str(known[-1]))
+        return known[-1], json.loads(self.spark.read.text(path.toString(), wholetext=True).first().value)
+
+    def _publish(self, name: str, number: int, parts: list[str]) -> None:
+        path, files = self._path(f"{name}.manifests", str(number))
+        out = files.create(path, False)  # an error if another writer was there first
+        out.write(json.dumps(parts).encode())
+        out.close()
+
+    def _part(self, name: str, df: DataFrame) -> str:
+        part = f"{name}-{uuid.uuid4().hex}"
+        cells = [F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema(name)]
+        df.select(*cells).write.parquet(f"{self.folder}/{part}")
+        return part
+
+    def schema(self, name: str):
+        return self.spark.createDataFrame([], SCHEMAS[name]).schema
 
     def exists(self, name: str) -> bool:
-        return os.path.exists(self._pointer(name))
+        return bool(self._manifests(name))
+
+    def tables(self) -> dict[str, list[str]]:
+        """Existing tables with their columns."""
+        return {name: self.schema(name).names for name in SCHEMAS if self.exists(name)}
+
+    def has_column(self, name: str, column: str) -> bool:
+        return column in self.tables().get(name, [])
 
     def read(self, name: str) -> DataFrame:
-        schema = self.spark.createDataFrame([], SCHEMAS[name]).schema
-        if not self.exists(name):
-            return self.spark.createDataFrame([], schema)
-        with open(self._pointer(name)) as f:
-            return self.spark.read.schema(schema).parquet(os.path.join(self.folder, f.read()))
+        _, parts = self._parts(name)
+        if not parts:
+            return self.spark.createDataFrame([], self.schema(name))
+        return self.spark.read.schema(self.schema(name)).parquet(*[f"{self.folder}/{p}" for p in parts])
 
     def write(self, name: str, df: DataFrame) -> None:
-        version = f"{name}-{uuid.uuid4().hex}"
-        df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in self.spark.createDataFrame([], SCHEMAS[name]).schema]).write.parquet(os.path.join(self.folder, version))
-        fresh = self._pointer(name) + ".new"
-        with open(fresh, "w") as f:
-            f.write(version)
-        os.replace(fresh, self._pointer(name))
+        """Replaces a table, whose keys may not occur twice."""
+        df = cut(df)
+        check_table(name, df)
+        number, _ = self._parts(name)
+        self._publish(name, number + 1, [self._part(name, df)])
 
     def append(self, name: str, rows: DataFrame, order: list[Column]) -> None:
-        """Adds rows with ids that follow those held, in this order."""
-        held = self.read(name)
-        self.write(name, held.unionByName(numbered(rows, held, order), allowMissingColumns=True))
+        """Adds rows as a new part, with ids (where the table has them) that follow those held, in this order."""
+        number, parts = self._parts(name)
+        if "id" in self.schema(name).names:
+            rows = numbered(rows, self.read(name), order)
+        self._publish(name, number + 1, [*parts, self._part(name, rows)])
+
+    def extend(self, name: str, rows: DataFrame) -> None:
+        """Adds rows as they are, ids included, as a new part."""
+        number, parts = self._parts(name)
+        self._publish(name, number + 1, [*parts, self._part(name, rows)])
 
 
 def numbered(rows: DataFrame, held: DataFrame, order: list[Column]) -> DataFrame:
@@ -114,32 +155,64 @@ def pending(urls: DataFrame, limit: int, source_like: str | None = None, source_
     return rows.orderBy("id").limit(limit)
 
 
-def job_pending(links: DataFrame, urls: DataFrame, jobs: DataFrame, sources: DataFrame, job_id: int | None = None) -> DataFrame:
-    """Pending URLs of jobs with their job and source: four-way inner join."""
+def job_pending(links: DataFrame, urls: DataFrame, jobs: DataFrame, sources: DataFrame, job_id: int | None = None, limit: int | None = None) -> DataFrame:
+    """Pending URLs of jobs with their job and source: four-way inner join.  With a limit the oldest ones, in order."""
     held = links.where("status = 'pending'").select("source_job_id", "url_id")
     if job_id is not None:
         held = held.where(F.col("source_job_id") == job_id)
     named = jobs.select(F.col("id").alias("source_job_id"), F.col("source_id").alias("_source")).join(sources.select(F.col("id").alias("_source"), F.col("name").alias("job_source_name")), "_source").drop("_source")
-    return held.join(named, "source_job_id").join(urls.drop("source_job_id", "status"), F.col("url_id") == F.col("id"))
+    found = held.join(named, "source_job_id").join(urls.drop("source_job_id", "status"), F.col("url_id") == F.col("id"))
+    return found if limit is None else found.orderBy("id", "source_job_id").limit(limit)
+
+
+def pending_count(urls: DataFrame, links: DataFrame, job_id: int | None = None, source_id: int | None = None, source_like: str | None = None) -> int:
+    """Pending URLs of a job, else of a source by id, else by a part of its name, else all."""
+    if job_id is not None:
+        return links.where((F.col("status") == "pending") & (F.col("source_job_id") == job_id)).count()
+    rows = urls.where("status = 'pending'")
+    if source_id is not None:
+        rows = rows.where(F.col("source_id") == source_id)
+    elif source_like:
+        rows = rows.where(F.col("source_name").ilike(f"%{source_like}%"))
+    return rows.count()
+
+
+def violations(rows: DataFrame, **rules: Column) -> DataFrame:
+    """(rule, n): how many rows break each rule; a rule that is null for a row holds."""
+    counts = rows.agg(*[F.count_if(F.coalesce(v, F.lit(False))).alias(k) for k, v in rules.items()])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), F.col(f"`{k}`").alias("n")) for k in rules])).alias("r")).select("r.*")
 
 
-def check(rows: DataFrame, **violations: Column) -> None:
+def check(rows: DataFrame, **rules: Column) -> None:
     """Raises a ValueError naming the rules that some row breaks."""
-    broken = rows.agg(*[F.count_if(F.coalesce(v, F.lit(False))).alias(k) for k, v in violations.items()]).first().asDict()
-    named = {k: n for k, n in broken.items() if n}
-    if named:
-        raise ValueError("constraints broken: " + ", ".join(f"{k} ({n} rows)" for k, n in named.items()))
+    broken = violations(rows, **rules).where("n > 0").collect()
+    if broken:
+        raise ValueError("constraints broken: " + ", ".join(f"{r.rule} ({r.n} rows)" for r in broken))
+
+
+def repeated(rows: DataFrame, *key: str) -> DataFrame:
+    """Keys that occur more than once; a key with an unknown part doesn't count."""
+    for k in key:
+        rows = rows.where(F.col(k).isNotNull())
+    return rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
 
 
 def check_unique(rows: DataFrame, *key: str) -> None:
     """Raises where a key whose parts are all known occurs twice."""
-    known = rows
-    for k in key:
-        known = known.where(F.col(k).isNotNull())
-    if not known.groupBy(*key).count().where("count > 1").isEmpty():
+    if not repeated(rows, *key).isEmpty():
         raise ValueError(f"not unique: {', '.join(key)}")
 
 
+#: Keys that may not occur twice in a table.
+UNIQUE = {"sources": [("source_key",)], "urls": [("url",), ("canonical_url",)], "source_job_urls": [("source_job_id", "url_id")], "articles": [("url",)], "article_classifications": [("article_id",)], "matches": [("article_id", "category", "keyword")]}
+
+
+def check_table(name: str, rows: DataFrame) -> None:
+    """Raises where a table's keys occur twice."""
+    for key in UNIQUE.get(name, []):
+        check_unique(rows, *key)
+
+
 def check_jobs(jobs: DataFrame) -> None:
     check(jobs, status=~F.col("status").isin(*STATUSES), days_back=F.col("requested_days_back") != 365)
     check_unique(jobs.where(F.col("status").isin("queued", "running")), "source_id")
@@ -150,17 +223,22 @@ def check_links(links: DataFrame) -> None:
     check_unique(links, "source_job_id", "url_id")
 
 
+def article_rules(as_of: Column) -> dict[str, Column]:
+    """What is wrong with a job's article, rule by rule."""
+    at = dates.parse_lax(F.col("published_date"))
+    return {
+        "canonical_url": F.col("canonical_url").isNull(), "published_date": at.isNull() | ~dates.in_window(at, as_of),
+        "text": F.coalesce(F.length("text"), F.lit(0)) < 700, "quality_score": F.coalesce(F.col("quality_score"), F.lit(0)) < 70,
+    }
+
+
 def check_articles(new: DataFrame, as_of: Column, held: DataFrame | None = None) -> None:
     """Job-owned articles need a canonical URL, a date in the window, 700 characters, a score of 70, and no double.
 
     Rows without a job are free of these rules.
     """
     owned = new.where("source_job_id IS NOT NULL")
-    at = dates.parse_lax(F.col("published_date"))
-    check(
-        owned, canonical_url=F.col("canonical_url").isNull(), published_date=at.isNull() | ~dates.in_window(at, as_of),
-        text=F.coalesce(F.length("text"), F.lit(0)) < 700, quality_score=F.coalesce(F.col("quality_score"), F.lit(0)) < 70,
-    )
+    check(owned, **article_rules(as_of))
     if held is not None and not duplicates(owned, held, "id", own_id="id").isEmpty():
         raise ValueError("constraints broken: duplicate article")
 

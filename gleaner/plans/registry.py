@@ -38,8 +38,8 @@ def _pages(spark, sf_dir):
 
 
 def _hashed(spark, sf_dir):
-    """Documents as articles with their content hash; texts are in normal form, so no decoding."""
-    return _docs(spark, sf_dir).select("doc_id", "source", "n_chars", "text", text.content_hash(F.col("text"), decode=False).alias("content_hash"))
+    """Documents as articles with their content hash, computed once."""
+    return _docs(spark, sf_dir).select("doc_id", "source", "n_chars", "text", text.barrier(text.content_hash(F.col("text"))).alias("content_hash"))
 
 
 SQL_HASHED = f"hashed AS (SELECT doc_id, source, n_chars, text, sha256({V.sql_content_form('text')}) AS content_hash FROM documents)"
@@ -158,11 +158,14 @@ def month_coverage(spark, sf_dir):
 _EXPECTED = f"expected AS (SELECT strftime(m, '%Y-%m') AS month FROM (SELECT unnest(generate_series(date_trunc('month', {V.LOW}), date_trunc('month', TIMESTAMP '{V.AS_OF}'), INTERVAL 1 MONTH)) AS m))"
 
 
-@query(f"WITH {V.SQL_ARTICLES}, {_EXPECTED} SELECT month FROM expected WHERE month NOT IN (SELECT strftime(published_at, '%Y-%m') FROM articles WHERE {V.IN_WINDOW} AND source_name = 'src0' AND source_category = 'fr')")
+@query(
+    f"""WITH {V.SQL_ARTICLES}, {_EXPECTED}, g AS (SELECT DISTINCT source_name, source_category FROM articles),
+seen AS (SELECT DISTINCT source_name, source_category, strftime(published_at, '%Y-%m') AS month FROM articles WHERE {V.IN_WINDOW})
+SELECT source_name, source_category, month FROM (SELECT * FROM g, expected) ANTI JOIN seen USING (source_name, source_category, month)"""
+)
 def missing_months(spark, sf_dir):
-    """Expected months without an article of one source and language."""
-    some = V.articles(spark, sf_dir).where("source_name = 'src0' AND source_category = 'fr'")
-    return reports.missing_months(reports.observed_months(some, V.as_of()), V.as_of())
+    """Expected months without an article, of every source and language."""
+    return reports.missing_months_by(V.articles(spark, sf_dir), ["source_name", "source_category"], V.as_of())
 
 
 @query(f"WITH {_EXPECTED} SELECT month FROM expected")
@@ -317,10 +320,13 @@ def filter_ultra(spark, sf_dir):
     return _pages(spark, sf_dir).select("page_id", urls.filter_reason(F.col("url"), "ultra").alias("reason"))
 
 
-_DISCOVERED_Q = f"list_filter({_PARAMS}, lambda p: NOT regexp_matches({_NAME}, '(?i)^(?:mc_[ce]id|[gf]b?clid|utm_(?:id|content|term|campaign|medium|source))$'))"
+_DISCOVERED_Q = f"list_filter({_PARAMS}, lambda p: NOT regexp_matches({_NAME}, '(?i)^(?:mc_[ce]id|fbclid|gclid|utm_(?:id|content|term|campaign|medium|source))$'))"
+
+
+_DISCOVERED = f"regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || {_PATH} || CASE WHEN len({_DISCOVERED_Q}) = 0 THEN '' ELSE '?' || array_to_string({_DISCOVERED_Q}, '&') END"
 
 
-@query(f"SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || {_PATH} || CASE WHEN len({_DISCOVERED_Q}) = 0 THEN '' ELSE '?' || array_to_string({_DISCOVERED_Q}, '&') END AS url FROM pages")
+@query(f"SELECT page_id, {_DISCOVERED} AS url FROM pages")
 def url_tokens_tracking(spark, sf_dir):
     """URLs without fragment and campaign parameters."""
     return _pages(spark, sf_dir).select("page_id", urls.discovered(F.col("url")).alias("url"))
@@ -367,12 +373,25 @@ def page_text(spark, sf_dir):
     return found.select("page_id", "title", "text", "published_date", "published_date_source", "canonical_url", "is_article_document")
 
 
-@query("SELECT page_id, regexp_matches(lower(html), '^\\s*<(?:!doctype\\s+html|(?:html|head|body)[\\s>])') AS shell FROM pages")
+@query(f"SELECT page_id, {V.sql_html_shell('html')} AS shell FROM pages")
 def html_shell(spark, sf_dir):
     """Whether a text is markup."""
     return _pages(spark, sf_dir).select("page_id", quality.html_shell(F.col("html")).alias("shell"))
 
 
+_CODE = "CASE page_id % 4 WHEN 0 THEN html WHEN 1 THEN replace(replace(html, '<', chr(10) || 'var a' || page_id || ' = {'), '>', '};') WHEN 2 THEN replace(replace(html, '<', chr(10) || '.c {color: '), '>', ';}') ELSE regexp_replace(html, '<[^>]*>', ' ', 'g') END"
+
+
+@query(f"SELECT page_id, {V.sql_code_shell('code')} AS shell FROM (SELECT page_id, {_CODE} AS code FROM pages)")
+def code_shell(spark, sf_dir):
+    """Whether a text is script or style sheet: pages as they are, without tags, and with tags turned into either language."""
+    number, html = F.col("page_id") % 4, F.col("html")
+    js = F.replace(F.replace(html, F.lit("<"), F.concat(F.lit("\nvar a"), F.col("page_id").cast("string"), F.lit(" = {"))), F.lit(">"), F.lit("};"))
+    css = F.replace(F.replace(html, F.lit("<"), F.lit("\n.c {color: ")), F.lit(">"), F.lit(";}"))
+    code = F.when(number == 0, html).when(number == 1, js).when(number == 2, css).otherwise(F.regexp_replace(html, "<[^>]*>", " "))
+    return _pages(spark, sf_dir).select("page_id", text.barrier(code).alias("code")).select("page_id", quality.code_shell(F.col("code")).alias("shell"))
+
+
 @query(f"SELECT page_id, CASE WHEN {_ARTICLE_SKIP} THEN 'NON_ARTICLE_URL' ELSE 'MISSING_ARTICLE_DOCUMENT_SIGNAL' END AS code FROM pages")
 def crawl_rejections(spark, sf_dir):
     """Why each page, fetched well, is turned away before the gate."""
@@ -513,7 +532,7 @@ def merged_crawl_stats(spark, sf_dir):
 
 # identity
 
-_INPUTS = "i AS (SELECT doc_id + 1000000000 AS input_id, 'u' || doc_id AS url, CASE WHEN doc_id % 3 = 0 THEN 'c' || (doc_id // 6) END AS canonical_url, content_hash FROM hashed), a AS (SELECT doc_id AS id, 'u' || (doc_id + 5) AS url, CASE WHEN doc_id % 2 = 0 THEN 'c' || (doc_id // 4) END AS canonical_url, content_hash FROM hashed)"
+_INPUTS = "i AS (SELECT doc_id + 1000000000 AS input_id, 'u' || doc_id AS url, CASE WHEN doc_id % 3 = 0 THEN 'c' || (doc_id // 6) END AS canonical_url, content_hash FROM hashed), a AS (SELECT doc_id AS id, source, 'u' || (doc_id + 5) AS url, CASE WHEN doc_id % 2 = 0 THEN 'c' || (doc_id // 4) END AS canonical_url, content_hash FROM hashed)"
 
 
 def _identities(spark, sf_dir):
@@ -521,7 +540,7 @@ def _identities(spark, sf_dir):
     name = lambda p, c: F.concat(F.lit(p), c.cast("string"))
     doc = F.col("doc_id")
     inputs = h.select((doc + 1000000000).alias("input_id"), name("u", doc).alias("url"), F.when(doc % 3 == 0, name("c", F.floor(doc / 6))).alias("canonical_url"), "content_hash")
-    held = h.select(doc.alias("id"), name("u", doc + 5).alias("url"), F.when(doc % 2 == 0, name("c", F.floor(doc / 4))).alias("canonical_url"), "content_hash")
+    held = h.select(doc.alias("id"), "source", name("u", doc + 5).alias("url"), F.when(doc % 2 == 0, name("c", F.floor(doc / 4))).alias("canonical_url"), "content_hash")
     return inputs, held
 
 
@@ -549,14 +568,20 @@ def trigger_dups(spark, sf_dir):
     return identity.duplicates(rows, rows, "id", keys=("content_hash",), own_id="id").select("id")
 
 
-@query(f"WITH {SQL_HASHED}, {_INPUTS}, b AS (SELECT * FROM a WHERE id < 200) SELECT input_id FROM i WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.content_hash = i.content_hash) AND (i.canonical_url IS NULL OR NOT EXISTS (SELECT 1 FROM b WHERE b.canonical_url = i.canonical_url))")
+@query(f"WITH {SQL_HASHED}, {_INPUTS}, b AS (SELECT * FROM a WHERE source = 'src0') SELECT input_id FROM i WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.content_hash = i.content_hash) AND (i.canonical_url IS NULL OR NOT EXISTS (SELECT 1 FROM b WHERE b.canonical_url = i.canonical_url))")
 def insert_guard(spark, sf_dir):
-    """Inputs that no held article (the first two hundred) stands against."""
+    """Inputs that no article of the largest source stands against."""
     inputs, held = _identities(spark, sf_dir)
-    return identity.without_matches(inputs, held.where("id < 200"), ("content_hash", "canonical_url")).select("input_id")
+    return identity.without_matches(inputs, held.where("source = 'src0'"), ("content_hash", "canonical_url")).select("input_id")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {SQL_HASHED}, {_INPUTS},
+ordered AS MATERIALIZED (SELECT row_number() OVER (ORDER BY input_id) AS n, input_id, list_filter(['u:' || url, 'c:' || canonical_url, 'h:' || content_hash], lambda k: k IS NOT NULL) AS keys FROM i),
+step(n, input_id, ok, held) AS (SELECT 0::BIGINT, NULL::BIGINT, false, []::VARCHAR[] UNION ALL
+  SELECT o.n, o.input_id, NOT list_has_any(s.held, o.keys), CASE WHEN list_has_any(s.held, o.keys) THEN s.held ELSE list_concat(s.held, o.keys) END FROM step s JOIN ordered o ON o.n = s.n + 1)
+SELECT input_id FROM step WHERE ok"""
+)
 def admitted_articles(spark, sf_dir):
     """Inputs that one-by-one insertion into an empty store accepts."""
     from gleaner.functions.session import reliable
@@ -656,10 +681,27 @@ def ip_private(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", addresses.private_host(dotted).alias("private"))
 
 
-@query("SELECT page_id, true AS safe FROM pages")
+_OTHERS = "CASE page_id % 8 WHEN 1 THEN regexp_replace(url, '^https?:', 'ftp:') WHEN 2 THEN replace(url, '://', '://user:pw@') WHEN 3 THEN 'http://LOCALHOST./' || page_id WHEN 4 THEN 'https://h' || page_id || '.local/' WHEN 5 THEN 'http://' || dotted || '/' WHEN 6 THEN 'http://[fd00::' || printf('%x', page_id % 65536) || ']/' WHEN 7 THEN 'http://[2606:4700::' || printf('%x', page_id % 65536) || ']/' ELSE url END"
+_NUMBERED = "SELECT page_id, url, (page_id * 2654435761 + 12345) % 4294967296 AS n FROM pages"
+_PRIVATE = " OR ".join(f"n BETWEEN {addresses._number(b) >> (32 - p) << (32 - p)} AND {(addresses._number(b) >> (32 - p) << (32 - p)) + (1 << (32 - p)) - 1}" for b, p in addresses.IPV4_RANGES)
+_DOTTED = "(n // 16777216) || '.' || (n // 65536 % 256) || '.' || (n // 256 % 256) || '.' || (n % 256)"
+
+
+@query(f"SELECT page_id, other AS url, CASE page_id % 8 WHEN 0 THEN regexp_matches(url, '^https?://') WHEN 5 THEN NOT ({_PRIVATE}) WHEN 7 THEN true ELSE false END AS safe FROM (SELECT *, {_OTHERS} AS other FROM (SELECT *, {_DOTTED} AS dotted FROM ({_NUMBERED})))")
 def safe_urls(spark, sf_dir):
-    """Whether a page's URL may be fetched."""
-    return _pages(spark, sf_dir).select("page_id", addresses.safe_url(F.col("url")).alias("safe"))
+    """Whether URLs may be fetched: those of pages, with other schemes, credentials, local names, IPv4 and IPv6 addresses."""
+    number, n = F.col("page_id").cast("string"), (F.col("page_id") * 2654435761 + 12345) % 4294967296
+    dotted = F.concat_ws(".", *[F.pmod(F.floor(n / (1 << s)), F.lit(256)).cast("string") for s in (24, 16, 8, 0)])
+    low = F.lower(F.hex(F.col("page_id") % 65536))
+    kinds = [
+        F.regexp_replace("url", "^https?:", "ftp:"), F.replace("url", F.lit("://"), F.lit("://user:pw@")), F.concat(F.lit("http://LOCALHOST./"), number), F.concat(F.lit("https://h"), number, F.lit(".local/")),
+        F.concat(F.lit("http://"), dotted, F.lit("/")), F.concat(F.lit("http://[fd00::"), low, F.lit("]/")), F.concat(F.lit("http://[2606:4700::"), low, F.lit("]/")),
+    ]
+    other = F.col("url")
+    for k, value in enumerate(kinds, 1):
+        other = F.when(F.col("page_id") % 8 == k, value).otherwise(other)
+    rows = _pages(spark, sf_dir).select("page_id", text.barrier(other).alias("url"))
+    return rows.select("page_id", "url", addresses.safe_url(F.col("url")).alias("safe"))
 
 
 @query("SELECT c_custkey AS id, coalesce(nullif(substring(regexp_replace(regexp_replace(lower(trim(c_name)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 48), ''), 'source') || ':' || substring(sha256('{\"name\":\"' || c_name || '\"}'), 1, 24) AS source_key FROM customer")

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = "1998-12-31 00:00:00"
-TITLE = 120
 
 
 def as_of():
@@ -39,7 +38,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
         F.col("source").alias("source_name"),
         F.col("lang").alias("source_category"),
-        F.substring(F.substring_index("text", "\n", 1), 1, TITLE).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("published_date"),
         at.alias("published_at"),
         "text",
@@ -59,7 +58,7 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_ARTICLES = f"""articles AS (SELECT d.doc_id AS id, 'https://' || d.source || '.example.com/' || d.lang || '/' || d.doc_id AS url, d.source AS source_name, d.lang AS source_category,
-  substring(split_part(d.text, chr(10), 1), 1, {TITLE}) AS title, strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS published_date, o.o_orderdate AS published_at, d.text
+  split_part(d.text, chr(10), 1) AS title, strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS published_date, o.o_orderdate AS published_at, d.text
   FROM documents d JOIN orders o ON d.doc_id = o.o_orderkey)"""
 SQL_JOBS = "jobs AS (SELECT o_orderkey AS id, o_custkey AS source_id, CASE o_orderstatus WHEN 'P' THEN 'queued' WHEN 'O' THEN 'running' ELSE 'completed' END AS status, o_orderdate AS enqueued_at FROM orders)"
 SQL_SOURCES = "sources AS (SELECT c_custkey AS id, 'key:' || c_custkey AS source_key, c_name AS name, lower(c_mktsegment) AS category, c_acctbal > 0 AS enabled FROM customer)"
@@ -118,6 +117,28 @@ def sql_signals(x: str, phrases: list[str]) -> str:
     return "(" + " + ".join(f"regexp_matches({x}, '\\b{p}\\b')::INTEGER" for p in quoted) + ")"
 
 
+TAGS = "</?(?:header|footer|nav|link|meta|style|script|span|div|article|main|body|head|html)\\b[^>]*>"
+
+
+def sql_html_shell(x: str) -> str:
+    tags = f"regexp_extract_all(lower({x}), '{TAGS}')"
+    many = f"(len({tags}) >= 8 AND length(array_to_string({tags}, ''))::DOUBLE / greatest(length({x}), 1) >= 0.12)"
+    return f"(contains({x}, '<') AND (regexp_matches(lower({x}), '^\\s*<(?:!doctype\\s+html|(?:html|head|body)[\\s>])') OR {many}))"
+
+
+def sql_code_shell(x: str) -> str:
+    """Script or style sheet, judged by the first 20,000 characters, by the counts of both languages' signs."""
+    s = f"substring({x}, 1, 20000)"
+    js = f"len(regexp_extract_all({s}, '(?i)(?:\\b(?:var|let|const|function)\\s+[a-z_$][\\w$]*\\s*[=(]|\\b(?:__NEXT_DATA__|webpackJsonp|module\\.exports|document|window)\\b|=>\\s*[({{]|[}};]\\s*[}};])'))"
+    css = f"len(regexp_extract_all({s}, '(?im)(?:^|\\n)\\s*(?:@(?:import|keyframes|font-face|media)\\b|[a-z.#][^\\n{{}}]{{0,120}}\\{{\\s*(?:[a-z-]+\\s*:\\s*[^;}}]+;)+)'))"
+    marks = f"len(regexp_extract_all({s}, '[;{{}}]'))"
+    lines = f"string_split({s}, chr(10))"
+    filled = f"len(list_filter({lines}, lambda l: regexp_matches(l, '\\S')))"
+    code = f"len(list_filter({lines}, lambda l: regexp_matches(l, '(?i)(?:\\b(?:function|var|let|const)\\b|=>|[#.][\\w-]+\\s*\\{{|@media\\b|[;{{}}]\\s*\\z)')))"
+    ratio, density = f"({code}::DOUBLE / greatest({filled}, 1))", f"({marks}::DOUBLE / greatest(length({s}), 1))"
+    return f"(({js} >= 3 AND ({ratio} >= 0.35 OR {density} >= 0.012)) OR ({css} >= 2 AND {ratio} >= 0.3) OR ({js} + {css} >= 2 AND {marks} >= 12 AND {ratio} >= 0.25))"
+
+
 def sql_codes() -> str:
     """CTEs ``gated``: articles with the ordered codes of the gate, by its default limits."""
     from gleaner.functions import quality as Q
@@ -130,10 +151,11 @@ def sql_codes() -> str:
         "PUBLISHED_DATE_IN_FUTURE": f"published_at > {HIGH}",
         "MISSING_TITLE": "trim(title) = ''",
         "GENERIC_OR_ERROR_TITLE": "length(title) > 300 OR regexp_matches(lower(title), '\\b(?:404|403|500)\\b') OR regexp_matches(lower(trim(title)), '^(?:archives?|articles?|blog|home|homepage|latest|latest news|news|news archive|posts?|untitled)$')",
-        "HTML_SHELL": "regexp_matches(lower(text), '^\\s*<(?:!doctype\\s+html|(?:html|head|body)[\\s>])')",
+        "HTML_SHELL": sql_html_shell("text"),
+        "JAVASCRIPT_OR_CSS_SHELL": sql_code_shell("text"),
         "COOKIE_OR_CONSENT_NOISE": f"{sql_signals('lower(text)', Q.COOKIE)} >= 2 OR ({sql_signals('lower(text)', Q.COOKIE)} >= 1 AND length(text) < 1500)",
         "PAYWALL_OR_LOGIN_WALL": f"{sql_signals('lower(text)', Q.PAYWALL)} >= 1",
-        "BOT_CHALLENGE_OR_ERROR_PAGE": f"{sql_signals('substring(lower(text), 1, 2500)', Q.CHALLENGE)} >= 1",
+        "BOT_CHALLENGE_OR_ERROR_PAGE": f"{sql_signals('substring(lower(text), 1, 2500)', Q.CHALLENGE)} >= 1 OR regexp_matches(substring(lower(text), 1, 2500), '(?s)\\battention required\\b.*\\bcloudflare\\b|\\bcf-chl-')",
         "NAVIGATION_NOISE": f"{sql_signals('lower(text)', Q.NAVIGATION)} >= 3 OR ({sql_signals('lower(text)', Q.NAVIGATION)} >= 2 AND (length(text) < 1500 OR sentence_count < 4))",
         "CONTENT_TOO_SHORT": "character_count < 500",
         "NON_PROSE_CONTENT": f"clean = '' OR letter_ratio < 0.52 OR ({letters} > 0 AND {latin}::DOUBLE / {letters} >= 0.7 AND (word_count < 80 OR (sentence_count < 3 AND character_count < 2000)))",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.quality import Options, validated
 from gleaner.functions.session import cut
-from gleaner.operators.identity import admitted
+from gleaner.operators.identity import KEYS, admitted
 
 EVENTS = "doc_id long, url string, title string, published_date string, text string"
 
@@ -25,17 +25,16 @@ def run(stream: DataFrame, accepted: str, quarantine: str, checkpoint: str, as_o
     """A query that appends each batch's accepted and quarantined rows below two folders.
 
     A batch is written under its number, so a batch that is run again replaces what it had
-    written.  Identity is held against all accepted batches before it.
+    written.  Identity is held against all accepted batches before it, of which the three keys
+    alone are read.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        try:
-            held = spark.read.option("basePath", accepted).parquet(accepted).where(F.col("batch") < number)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            held = None
+        path = spark._jvm.org.apache.hadoop.fs.Path(accepted)
+        held = None
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, "batch=*/*.parquet")):
+            held = spark.read.option("basePath", accepted).parquet(accepted).where(F.col("batch") < number).select(*KEYS)
         good, bad = split(batch, as_of, options, held)
         good.write.mode("overwrite").parquet(f"{accepted}/batch={number}")
         bad.write.mode("overwrite").parquet(f"{quarantine}/batch={number}")

@@ -3,7 +3,7 @@
 import oracle
 import pytest
 
-from gleaner.plans import registry
+from gleaner.plans import jobs, registry  # noqa: F401 - jobs adds its queries
 
 SMALL = "/root/testdata/sf0.001"
 
