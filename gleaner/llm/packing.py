@@ -74,6 +74,12 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return out
 
 
+def salted(salts: int):
+    """A part of each length by a hash of doc_id and start."""
+    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("start").cast("string"))
+    return (F.conv(F.substring(F.md5(name), 1, 4), 16, 10).cast("int") % salts).cast("int")
+
+
 def packed(docs: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
     """(sequence, position, doc_id, start, length): which tokens of which document lie where.
 
@@ -85,7 +91,7 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> Dat
     sized = docs.select("doc_id", tokens.alias("n")).where("n > 0")
     start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(capacity).cast("long")))
     pieces = sized.select("doc_id", "n", start.alias("start")).select(
-        "doc_id", F.col("start").cast("int").alias("start"), F.least(F.lit(capacity).cast("long"), F.col("n") - F.col("start")).cast("int").alias("length"), F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)).cast("int").alias("salt")
+        "doc_id", F.col("start").cast("int").alias("start"), F.least(F.lit(capacity).cast("long"), F.col("n") - F.col("start")).cast("int").alias("length"), salted(salts).alias("salt")
     )
     pieces = stored(pieces)
     table = pieces.groupBy("length", "salt").agg(F.count("*").alias("n")).toArrow()
@@ -112,3 +118,33 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> Dat
     number = F.row_number().over(W.partitionBy("length", "salt").orderBy("doc_id", "start"))
     ranked = pieces.withColumn("number", number).withColumn("at", place("length", "salt", "number"))
     return ranked.select("at.sequence", "at.position", "doc_id", "start", "length")
+
+
+#: One step of the recursion fills the sequences of one entry of the open ones, or new ones.
+ORACLE = f"""
+WITH RECURSIVE sized AS (SELECT doc_id, len(regexp_extract_all(text, '\\S+')) AS n FROM documents),
+pieces AS MATERIALIZED (SELECT doc_id, s::INTEGER AS start, least({CAPACITY}, n - s)::INTEGER AS length, ('0x' || substr(md5(doc_id || ':' || s), 1, 4))::INTEGER % {SALTS} AS salt FROM (SELECT doc_id, n, unnest(range(0, n, {CAPACITY})) AS s FROM sized WHERE n > 0)),
+ranked AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY length ORDER BY salt, doc_id, start) - 1 AS rank FROM pieces),
+counts AS MATERIALIZED (SELECT row_number() OVER (ORDER BY length DESC) AS i, length, count(*) AS n FROM pieces GROUP BY length),
+step(i, length, need, rank, made, open, made_rows) AS (
+  SELECT 1::BIGINT, length, n, 0::BIGINT, 0::BIGINT, []::STRUCT(room BIGINT, low BIGINT, n BIGINT)[], []::STRUCT(length BIGINT, rank BIGINT, low BIGINT, per BIGINT, position BIGINT)[] FROM counts WHERE i = 1
+  UNION ALL
+  SELECT CASE WHEN f.need = 0 THEN f.i + 1 ELSE f.i END, CASE WHEN f.need = 0 THEN c.length ELSE f.length END, CASE WHEN f.need = 0 THEN c.n ELSE f.need END, CASE WHEN f.need = 0 THEN 0 ELSE f.rank END, f.made, f.open, f.made_rows
+  FROM (
+    SELECT i, length, made, need - filled * per - part AS need, rank + filled * per + part AS rank,
+      list_concat(open, list_filter([{{'room': room - per * length, 'low': low, 'n': filled}}, {{'room': room - part * length, 'low': low + filled, 'n': CASE WHEN part > 0 THEN 1 ELSE 0 END}}, {{'room': room, 'low': low + filled + (part > 0)::BIGINT, 'n': n - filled - (part > 0)::BIGINT}}], lambda x: x.room > 0 AND x.n > 0)) AS open,
+      list_concat(CASE WHEN filled > 0 THEN [{{'length': length, 'rank': rank, 'low': low, 'per': per, 'position': {CAPACITY} - room}}] ELSE [] END,
+        CASE WHEN part > 0 THEN [{{'length': length, 'rank': rank + filled * per, 'low': low + filled, 'per': part, 'position': {CAPACITY} - room}}] ELSE [] END) AS made_rows
+    FROM (
+      SELECT *, CASE WHEN n > filled AND need > filled * per THEN need - filled * per ELSE 0 END AS part
+      FROM (SELECT *, room // length AS per, least(n, need // (room // length)) AS filled
+        FROM (SELECT i, length, need, rank, coalesce(open[p].room, {CAPACITY}) AS room, coalesce(open[p].low, made) AS low,
+            CASE WHEN p IS NULL THEN (need + ({CAPACITY} // length) - 1) // ({CAPACITY} // length) ELSE open[p].n END AS n, CASE WHEN p IS NULL THEN made + (need + ({CAPACITY} // length) - 1) // ({CAPACITY} // length) ELSE made END AS made,
+            CASE WHEN p IS NULL THEN open ELSE list_concat(open[:p - 1], open[p + 1:]) END AS open
+          FROM (SELECT *, CASE WHEN best IS NULL THEN NULL ELSE len(open) + 1 - list_position(list_transform(list_reverse(open), lambda x: x.room), best) END AS p
+            FROM (SELECT *, list_min(list_transform(list_filter(open, lambda x: x.room >= length), lambda x: x.room)) AS best FROM step WHERE length IS NOT NULL))))))
+  f LEFT JOIN counts c ON c.i = f.i + 1),
+slots AS (SELECT r.length, r.rank AS first, r.low, r.per, r.position FROM (SELECT unnest(made_rows) AS r FROM step))
+SELECT s.low + (p.rank - s.first) // s.per AS sequence, (s.position + ((p.rank - s.first) % s.per) * p.length)::INTEGER AS position, p.doc_id, p.start, p.length
+FROM ranked p ASOF JOIN slots s ON p.length = s.length AND p.rank >= s.first
+"""

@@ -63,4 +63,4 @@ def op10_bitplanes(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_mixing, op3_substrings, op4_quality, op5_html, op6_toxicity, op7_topk, op8_packing, op9_covertree, op10_bitplanes)}
 
-ORACLE_SQL = {"op1_simhash": simhash.ORACLE, "op2_mixing": mixing.ORACLE, "op7_topk": topk.ORACLE, "op9_covertree": covertree.ORACLE}
+ORACLE_SQL = {"op1_simhash": simhash.ORACLE, "op2_mixing": mixing.ORACLE, "op7_topk": topk.ORACLE, "op8_packing": packing.ORACLE, "op9_covertree": covertree.ORACLE}

@@ -471,6 +471,10 @@ def test_packing_is_best_fit():
                 assert all(a + n <= b for (a, n), (b, _) in zip(parts, parts[1:])) and parts[-1][0] + parts[-1][1] <= capacity
 
 
+def test_packing_equals_sql(spark):
+    assert oracle.compare(queries.op8_packing(spark, MIDDLE), oracle.connect(MIDDLE), packing.ORACLE)[0]
+
+
 def test_packing_places_every_token_once(spark, docs):
     out = packing.packed(docs, capacity=256).toPandas()
     sizes = {r.doc_id: len(r.text.split()) for r in docs.collect()}
