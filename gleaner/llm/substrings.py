@@ -16,8 +16,9 @@ place, and reach from the first to the last equal word, ``words`` words at least
 The words that differ leave somewhere between them a run of equal ones, of 8 words
 if 5 of 50 differ.  Seeds are the minima of the short grams within every run of
 that length, so two texts that agree have a seed in common: nothing is left to
-chance.  One word over and over is no seed: passages that have nothing else in
-common count where they are equal.  Seeds with the same words on both sides, as far as a passage reaches, are
+chance.  One word or two over and over are no passage, as such runs are alike without
+one being copied from another: a gram or seed of fewer than three different words
+counts for nothing, and a passage needs another one.  Seeds with the same words on both sides, as far as a passage reaches, are
 exact repeats, and only the first document's go on to be compared, each with those
 before it until one agrees.  Not all of a group are compared, as a line that many
 texts have in common puts all of them into one.  Of the blocks of words next to the
@@ -68,6 +69,20 @@ def gram_hashes(w: Words, gram: int):
     return mix(total[at]), at
 
 
+def plain(w: Words, at: np.ndarray, gram: int) -> np.ndarray:
+    """Whether the ``gram`` words from each position are fewer than three different ones."""
+    first = w.hash[at]
+    other = np.zeros(len(at), dtype=np.uint64)
+    two, three = np.zeros(len(at), dtype=bool), np.zeros(len(at), dtype=bool)
+    for k in range(1, gram):
+        here = w.hash[at + k]
+        differs = here != first
+        three |= differs & two & (here != other)
+        other = np.where(differs & ~two, here, other)
+        two |= differs
+    return ~three
+
+
 def centres(value: np.ndarray, row: np.ndarray, width: int) -> np.ndarray:
     """Positions that are the leftmost minimum of some ``width`` positions of one row."""
     n = len(value)
@@ -109,7 +124,10 @@ def compact_windows(w: Words, rows: int, words: int, gram: int):
     grams, at = gram_hashes(w, gram)
     row = w.row[at]
     value = mix(grams, 100)
+    poor = plain(w, at, gram)
+    value[poor] = ~np.uint64(0)
     c = centres(value, row, words - gram + 1)
+    c = c[~poor[c]]
     count = np.bincount(row, minlength=rows)
     end = np.cumsum(count)
     left, right = bounds(value[c].tolist(), c.tolist(), row[c].tolist(), (end - count).tolist(), (end - 1).tolist())
@@ -149,12 +167,10 @@ def seeds(w: Words, words: int, agree: float):
     side = words - seed
     grams, at = gram_hashes(w, seed)
     value = mix(grams, 200)
-    one_word = np.ones(len(at), dtype=bool)
-    for k in range(1, seed):
-        one_word &= w.hash[at] == w.hash[at + k]
-    value[one_word] = ~np.uint64(0)
+    poor = plain(w, at, seed)
+    value[poor] = ~np.uint64(0)
     c = centres(value, w.row[at], width)
-    c = c[~one_word[c]]
+    c = c[~poor[c]]
     place = at[c]
     row = w.row[place]
     long = np.diff(w.first)[row] >= words

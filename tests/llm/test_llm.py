@@ -166,14 +166,18 @@ def test_mixing_awkward(spark, awkward):
 # 3
 
 def exact_cover(texts, width=substrings.WORDS):
-    """Positions of words that lie in a run which occurs in a document of lesser number."""
+    """Positions of words that lie in a run which occurs in a document of lesser number.
+
+    A run in which no eight words have three different ones among them is no passage.
+    """
     first, cover = {}, {}
     for d in sorted(texts):
         w = words_of(texts[d])
         held = set()
+        rich = np.cumsum([0, *[len(set(w[k : k + substrings.GRAM])) > 2 for k in range(len(w))]])
         for k in range(len(w) - width + 1):
             run = tuple(w[k : k + width])
-            if first.setdefault(run, d) < d:
+            if rich[k] < rich[k + width - substrings.GRAM + 1] and first.setdefault(run, d) < d:
                 held.update(range(k, k + width))
         cover[d] = held
     return cover
@@ -202,6 +206,17 @@ def test_substrings_cover_all_exact_repeats(spark):
     assert not {d for d in extra if d >= 10_000}
 
 
+def test_substrings_leave_runs_of_one_or_two_words(spark):
+    rng = random.Random(6)
+    some = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    passage = some(60)
+    rows = [(1, f"{some(40)} {'the ' * 90}{some(40)}"), (2, f"{some(30)} {'the ' * 70}{some(20)}"), (3, f"{'in the ' * 60}{some(9)}"), (4, f"{some(20)} {'in the ' * 40}"), (5, f"{'the ' * 60}{passage}"), (6, f"{passage} {'the ' * 60}")]
+    texts = dict(rows)
+    got = {(r.doc_id, r.start, r.end) for r in substrings.repeated_passages(documents(spark, rows)).collect()}
+    assert got == {(6, 0, 60)}
+    assert {d for d, held in exact_cover(texts).items() if held} == {6}
+
+
 def test_substrings_near_repeats(spark):
     rng = random.Random(9)
     some = lambda n: [f"q{rng.randrange(3000)}" for _ in range(n)]
