@@ -71,6 +71,30 @@ def error_page(title: Column, body: Column) -> Column:
     return ((F.length(t) <= 80) & t.rlike("|".join(ERROR_TITLES))) | start.rlike("|".join(ERROR_TEXTS))
 
 
+SHAPE = '{"isNewsArticle": true or false, "isRelevant": true or false, "matchedKeywords": [strings], "reason": string}'
+ADVICE = (
+    "Say whether the page below is an article (news, report, analysis, research or blog post) rather than a home, listing, search, login, consent or error page.",
+    "Say whether it tells something of use about society, technology, the economy, the environment or politics. When in doubt, say no.",
+    "Name the keywords of the lists that fit it best, in their own spelling; a keyword's words need not occur in the text. Name none that isn't listed, and none for a page of no use.",
+)
+
+
+def request(article: dict, model: str, own_only: bool = False, characters: int = 7000) -> dict:
+    """The body of a call to a local model: JSON mode, little randomness, a context of 8,192 tokens.
+
+    ``article`` has title, text, url, source_name, source_category and published_date; its text
+    is cut to what the context holds.
+    """
+    low = (article.get("source_category") or "").lower()
+    own = next((name for part, name in FOLDS if part in low), None)
+    chosen = {own: TAXONOMY[own]} if own_only and own else TAXONOMY
+    lists = "\n\n".join(f"{name}:\n" + "\n".join(f"- {w}" for w in words) for name, words in chosen.items())
+    fields = [("Source", "source_name", ""), ("Category", "source_category", "unknown"), ("Address", "url", ""), ("Title", "title", ""), ("Date", "published_date", "unknown")]
+    about = "\n".join(f"{label}: {article.get(key) or default}" for label, key, default in fields)
+    prompt = "\n\n".join([*ADVICE, f"Keywords by category\n\n{lists}", about, (article.get("text") or "")[:characters], f"Answer with JSON alone: {SHAPE}"])
+    return {"model": model, "prompt": prompt, "stream": False, "format": "json", "options": {"temperature": 0.1, "num_ctx": 8192}}
+
+
 REPLY = pa.struct([("is_news_article", pa.bool_()), ("is_relevant", pa.bool_()), ("matched_keywords", pa.list_(pa.string())), ("reason", pa.string())])
 
 

@@ -7,13 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.functions import text, urls
+from gleaner.functions import dates, text, urls
 from gleaner.functions.session import reliable
 from gleaner.operators import classify, identity, queue, runs, store
 from gleaner.plans import registry as R
 from gleaner.plans import views as V
 from gleaner.plans.registry import query
-from gleaner.sources import sitemaps
+from gleaner.sources import listings, sitemaps
 
 _AS_OF = f"TIMESTAMP '{V.AS_OF}'"
 
@@ -386,3 +386,30 @@ def sitemap_walk(spark, sf_dir):
     cutoff = V.as_of() - F.make_dt_interval(F.lit(365))
     found = sitemaps.walk(start, lambda frontier: documents.join(F.broadcast(frontier), "sitemap_url"), F.lit("https://www.example.com/"), cutoff, max_files=1 << 30, max_urls=1 << 30)
     return found.select("url", "depth")
+
+
+_SITE = "https://example.com"
+
+
+@query(f"SELECT '{_SITE}/stories/p-' || page_id AS url FROM pages")
+def listing_walk(spark, sf_dir):
+    """Stories linked from the pages of a listing, which its first page links to."""
+    number = (F.col("page_id") / 20).cast("long")
+    rows = R._pages(reliable(spark), sf_dir).select(number.alias("k"), F.concat(F.lit('<a href="/stories/p-'), F.col("page_id").cast("string"), F.lit('">s</a>')).alias("a"))
+    address = lambda k: F.concat(F.lit(f"{_SITE}/news/page/"), k.cast("string"))
+    site = rows.groupBy("k").agg(F.array_join(F.collect_list("a"), " ").alias("links")).select(F.col("k").alias("page_id"), address(F.col("k")).alias("url"), F.concat(F.lit("<html><head><title>Stories</title></head><body>"), "links", F.lit("</body></html>")).alias("html"))
+    pages = F.concat(F.lit("<html><body>"), F.array_join(F.transform(F.sequence(F.lit(0), F.col("n")), lambda k: F.concat(F.lit('<a rel="next" href="'), address(k), F.lit('">Next</a>'))), " "), F.lit("</body></html>"))
+    index = rows.agg(F.max("k").alias("n")).select(F.lit(-1).cast("long").alias("page_id"), F.lit(f"{_SITE}/news/page/all").alias("url"), pages.alias("html"))
+    site = site.unionByName(index)
+    start = spark.range(1).select(F.lit(f"{_SITE}/news/page/all").alias("url"))
+    return listings.walk(start, lambda frontier: site.join(F.broadcast(frontier), "url").select("page_id", "url", "html"), F.lit(_SITE), max_requests=1 << 30, max_pagination=1 << 30)
+
+
+@query("""SELECT o_orderkey AS id, CASE o_orderkey % 6 WHEN 0 THEN date_trunc('day', o_orderdate) WHEN 1 THEN o_orderdate WHEN 3 THEN o_orderdate - INTERVAL 2 HOUR END AS strict, CASE o_orderkey % 6 WHEN 0 THEN date_trunc('day', o_orderdate) WHEN 1 THEN o_orderdate WHEN 2 THEN o_orderdate WHEN 3 THEN o_orderdate - INTERVAL 2 HOUR END AS lax FROM orders""")
+def parsed_dates(spark, sf_dir):
+    """Dates in several forms, read strictly and laxly: days, instants with and without a zone, words and nothing."""
+    at = F.col("o_orderdate").cast("timestamp")
+    k = F.col("o_orderkey") % 6
+    form = F.when(k == 0, F.date_format(at, "yyyy-MM-dd")).when(k == 1, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(k == 2, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")).when(k == 3, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'+02:00'")).when(k == 4, "soon")
+    rows = V.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), form.alias("d"))
+    return rows.select("id", dates.parse_strict(F.col("d")).cast("timestamp_ntz").alias("strict"), dates.parse_lax(F.col("d")).cast("timestamp_ntz").alias("lax"))

@@ -10,7 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from test_functions import PROSE, at_noon
 
-from gleaner.operators import identity, queue, reports, runs, store
+from gleaner.operators import classify, identity, queue, reports, runs, store
 from gleaner.sources import registry
 from gleaner.streaming import gate
 
@@ -236,6 +236,13 @@ def test_classifier_run(spark, tmp_path):
     assert runs.classifier_run(s, lambda t, x: "{}", "m", at_noon())["selected"] == 1
 
 
+def test_model_request():
+    body = classify.request({"title": "T", "text": "x" * 9000, "source_category": "Tech news", "url": "u"}, "m", own_only=True)
+    assert body["format"] == "json" and body["stream"] is False and body["options"] == {"temperature": 0.1, "num_ctx": 8192}
+    assert "x" * 7000 in body["prompt"] and "x" * 7001 not in body["prompt"] and "Patent protection" in body["prompt"] and "Money supply" not in body["prompt"]
+    assert "Money supply" in classify.request({"text": None}, "m", own_only=True)["prompt"] and "Date: unknown" in classify.request({}, "m")["prompt"]
+
+
 def test_json_without_exceptions():
     assert [runs.read_json(x, 0) for x in (None, "", "{", '{"a": [1]}', "null")] == [0, 0, 0, {"a": [1]}, None]
 
