@@ -146,7 +146,7 @@ def validated(candidates: DataFrame, as_of: Column, options: Options = Options()
 
     Adds accepted, rejection_codes, reason_code, quality_score, cleaned_text, canonical_url,
     content_hash, published_at and metrics.  ``decode=False`` leaves out entities and Unicode
-    normal forms, for text known to need neither; no Python worker then takes part.
+    normal forms, for text known to need neither.
     """
     out = candidates.withColumn("_raw", text.normalized(F.col("text"), decode)).withColumn("_title", text.normalized(F.col("title"), decode))
     out = out.withColumn("canonical_url", urls.canonical(F.col("url"))).withColumn("published_at", dates.parse_strict(F.col("published_date")))

@@ -1,11 +1,14 @@
 """URL canonicalisation and the URL classifiers, as column expressions.
 
-URLs are taken apart by regular expressions.  Percent escapes of retained
-parameters stay as they are written; parameters are ordered by code point.
+URLs are taken apart by regular expressions.  Those with anything that the URL
+standard rewrites (escapes, dot segments, white space, characters outside ASCII) are
+canonicalised in Python, over Arrow batches that hold null for all others.
 """
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -71,12 +74,9 @@ def _web(url: Column) -> Column:
     return scheme(url).isin("http", "https")
 
 
-def canonical(url: Column) -> Column:
-    """The form of a URL that identity is decided by; null where it isn't a web address.
+def _plain_canonical(url: Column) -> Column:
+    """``canonical`` of URLs in which the standard has nothing to rewrite."""
 
-    Fragment, credentials, ``www.``, default ports and tracking parameters go, the other
-    parameters are sorted, runs of slashes become one and trailing ones go.
-    """
     def name(p: Column) -> Column:
         return F.lower(F.coalesce(F.try_url_decode(F.substring_index(p, "=", 1)), F.substring_index(p, "=", 1)))
 
@@ -99,6 +99,76 @@ def canonical(url: Column) -> Column:
     return F.when(valid(url) & _web(url), out)
 
 
+#: What the standard rewrites: characters that it escapes or drops, escapes, dot segments, and parameters that are written anew.
+_REWRITTEN = r"""[^\x21-\x7e]|[%\\"<>`{}|^]|/\.{1,2}(?:[/?#]|\z)|\?[^#]*[^A-Za-z0-9*._=&#?-]"""
+_PARTS = re.compile(r"([A-Za-z][A-Za-z0-9+.\-]*):[/]*([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?", re.S)
+
+
+def _escaped(text: str, kept: str) -> str:
+    return "".join(c if c in kept else "".join(f"%{b:02X}" for b in c.encode("utf-8", "replace")) for c in text)
+
+
+_SAFE = {c for c in map(chr, range(0x21, 0x7F))}
+_IN_PATH = "".join(sorted(_SAFE - set('"#<>?`{}^')))
+_IN_FORM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789*-._ "
+
+
+def standard_canonical(url: str) -> str | None:
+    """``canonical`` by the URL standard's own rules, for one URL."""
+    from urllib.parse import unquote, unquote_plus
+
+    m = _PARTS.fullmatch(re.sub(r"[\t\n\r]", "", url.strip("".join(map(chr, range(0x21))))).replace("\\", "/"))
+    if not m or m[1].lower() not in ("http", "https"):
+        return None
+    scheme_, authority, path_, query_ = m[1].lower(), m[2].rpartition("@")[2], m[3], m[4] or ""
+    found = re.fullmatch(r"(\[[^\]]*\]|[^:]*)(?::(\d*))?", authority)
+    if not found or not found[1]:
+        return None
+    host_, port = found[1].lower(), found[2]
+    if not host_.startswith("["):
+        try:
+            host_ = ".".join(p.encode("idna").decode() if p else p for p in re.split("[.\u3002\uff0e\uff61]", unquote(host_).lower())).lower()
+        except UnicodeError:
+            return None
+        if not host_ or re.search(r"[\x00-\x20#%/:<>?@\[\\\]^|\x7f]", host_):
+            return None
+    if port and int(port) > 65535:
+        return None
+    out: list[str] = []
+    segments = path_.split("/")[1:] if path_.startswith("/") else []
+    for k, segment in enumerate(segments):
+        dots = segment.lower().replace("%2e", ".")
+        if dots == "..":
+            out[-1:] = []
+        elif dots != ".":
+            out.append(_escaped(segment, _IN_PATH))
+        if dots in (".", "..") and k == len(segments) - 1:
+            out.append("")
+    tidy = "/" + re.sub("/{2,}", "/", "/".join(out)).strip("/")
+    pairs = [tuple(unquote_plus(x) for x in (p.partition("=")[0], p.partition("=")[2])) for p in query_.split("&") if p]
+    kept = [(n, v) for n, v in pairs if not n.lower().startswith("utm_") and n.lower() not in TRACKING]
+    kept.sort(key=lambda x: x[0].encode("utf-16-be", "surrogatepass"))
+    search = "&".join("=".join(_escaped(x, _IN_FORM).replace(" ", "+") for x in pair) for pair in kept)
+    end = "" if not port or int(port) == {"http": 80, "https": 443}[scheme_] else f":{int(port)}"
+    return f"{scheme_}://{host_.removeprefix('www.')}{end}{tidy}" + (f"?{search}" if search else "")
+
+
+@arrow_udf(StringType())
+def _standard(url: pa.Array) -> pa.Array:
+    return pa.array([None if u is None else standard_canonical(u) for u in url.to_pylist()], pa.string())
+
+
+def canonical(url: Column) -> Column:
+    """The form of a URL that identity is decided by; null where it isn't a web address.
+
+    Fragment, credentials, ``www.``, default ports and tracking parameters go, the other
+    parameters are sorted, runs of slashes become one and trailing ones go; escapes, dot
+    segments and international names are brought to the URL standard's form.
+    """
+    rewritten = F.trim(url).rlike(_REWRITTEN)
+    return F.when(rewritten, _standard(F.when(rewritten, url))).otherwise(_plain_canonical(url))
+
+
 @arrow_udf(StringType())
 def resolved(url: pa.Array, base: pa.Array) -> pa.Array:
     """A link resolved against its page's address; null where that fails."""

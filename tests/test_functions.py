@@ -107,3 +107,15 @@ def test_addresses(spark):
         raise OSError
 
     assert not addresses.resolves_to_public("x", fails)
+
+
+@pytest.mark.parametrize("url, expected", [
+    ("HTTPS://www.Ex\u00e4mple.com/a/../b/./c?z=1&a=x y#f", "https://xn--exmple-cua.com/b/c?a=x+y&z=1"), ("https://e.com/%7Efoo/\u00fc/", "https://e.com/%7Efoo/%C3%BC"), ("https://e.com/a/%2E%2e/b", "https://e.com/b"),
+    ("https://e.com/a/..", "https://e.com/"), ("https://e.com/a b", "https://e.com/a%20b"), ("https:\\\\e.com\\a", "https://e.com/a"), ("http://e.com:80/x?q=a/b&UTM_source=x", "http://e.com/x?q=a%2Fb"),
+    ("https://u:p@e.com:8443//a//b//?b=2&a=%31", "https://e.com:8443/a/b?a=1&b=2"), ("ftp://e.com/%41", None), ("https://e%20x.com/", None), ("https://e.com/?a=\u20ac", "https://e.com/?a=%E2%82%AC"), ("https://e.com/x?a=1+2", "https://e.com/x?a=1+2"),
+    ("https://e.com/plain?b=1&a", "https://e.com/plain?a=&b=1"),
+])
+def test_canonical_by_the_standard(spark, url, expected):
+    assert values(spark, urls.canonical, url) == [expected]
+    if expected:
+        assert urls.standard_canonical(url) == expected  # and of URLs that need no rewriting both ways agree
