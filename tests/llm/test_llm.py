@@ -558,6 +558,43 @@ def test_covertree_classes_equal_brute_force(spark):
     assert sum(n for _, n in expected.values()) > 5000
 
 
+def test_covertree_far_vectors_visit_each_bundle_once(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 48))
+    x[1000:] = x[:500] + rng.normal(size=(500, 48)) * 0.12
+    x = x.astype(np.float32)
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    units = covertree._units(rows).withColumn("n", F.lit(1).cast("long"))
+    reach = float(np.sqrt(2 - 2 * covertree.COSINE))
+    assert covertree._cells(units, 20, 4096, reach).count() <= 3 * len(x)  # no pivot's radius leaves any out; a copy for each of 75 cells would make 38
+    expected = classes_by_brute_force(list(range(len(x))), x)
+    assert {r.vec_id: (r.class_id, r.links) for r in covertree.near_duplicates(rows, cell=20).collect()} == expected and sum(n for _, n in expected.values()) > 500
+
+
+def test_covertree_runs_of_visitors_are_bounded(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(size=(900, 48)), np.full((300, 48), 3) + rng.normal(size=(300, 48)) * 0.5]).astype(np.float32)
+    units = covertree._units(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")).withColumn("n", F.lit(1).cast("long"))
+    monkeypatch.setattr(covertree, "RUN", 64)
+    for most in (60, 200):
+        placed = covertree._cells(units, 30, 4096, 0.4, most)
+        batches = [placed.where(F.spark_partition_id() == k).toArrow().to_batches() for k in range(placed.rdd.getNumPartitions())]
+        runs = [(p, ids) for b in batches for p, ids, _, _ in covertree._runs(iter(b))]
+        own = [ids for p, ids in runs if not p & 1]
+        assert sorted(np.concatenate(own)) == list(range(1200)) and max(map(len, own)) <= 2 * most
+        assert max(len(ids) for p, ids in runs if p & 1) == 64 and len({p for p, _ in runs if not p & 1}) == len(own)
+
+
+def test_covertree_bundles(spark):
+    order, first, dealt = covertree._bundled(np.array([5, 40, 7, 300, 6, 60]), 50)
+    assert order.tolist() == [0, 1, 2, 4, 3, 5] and dealt.tolist() == [1, 1, 1, 6, 1, 1]
+    assert first.tolist() == [0, 0, 1, 2, 1, 8]
+    one = np.array([[1.0] + [0.0] * 39]) + np.random.default_rng(3).normal(size=(500, 40)) * 0.02  # pivots tell none of them apart
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(one.astype(np.float32))], "vec_id long, embedding array<float>")
+    for cell in (10, 600):
+        assert {(r.class_id, r.links) for r in covertree.near_duplicates(rows, cell=cell).collect()} == {(0, 499)}
+
+
 def test_covertree_equals_sql(spark):
     assert oracle.compare(queries.op9_covertree(spark, MIDDLE), oracle.connect(MIDDLE), covertree.ORACLE)[0]
 
