@@ -132,9 +132,9 @@ def unclassified(articles: DataFrame, classifications: DataFrame, model: str, li
     return left if limit is None else left.limit(limit)
 
 
-def outcome(articles: DataFrame, low: Column, as_of: Column, use_prefilter: bool = False, allow_unknown: bool = False) -> DataFrame:
+def outcome(articles: DataFrame, low: Column, as_of: Column, use_prefilter: bool = False, allow_unknown: bool = False, use_error_page: bool = True) -> DataFrame:
     """Adds ``outcome``: error_page, date, keyword or model, the cheapest test first."""
-    out = F.when(error_page(F.col("title"), F.col("text")), "error_page").when(~dates.date_accepted(F.col("published_date"), low, as_of, allow_unknown=allow_unknown), "date")
+    out = F.when(error_page(F.col("title"), F.col("text")) if use_error_page else F.lit(False), "error_page").when(~dates.date_accepted(F.col("published_date"), low, as_of, allow_unknown=allow_unknown), "date")
     if use_prefilter:
         out = out.when(~prefilter(F.col("title"), F.col("text")), "keyword")
     return articles.withColumn("outcome", out.otherwise("model"))
