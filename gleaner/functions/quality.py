@@ -5,6 +5,7 @@ Patterns use look-around instead of ``\\b``, which Java takes to be Unicode awar
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -49,9 +50,16 @@ def _has(c: Column, parts: str) -> Column:
     return some
 
 
+def _always(phrase: str) -> str:
+    """The longest run of characters that every match of the phrase holds, which may be none."""
+    while (plain := re.sub(r"\(\?:[^()]*\)\??", "\n", phrase)) != phrase:
+        phrase = plain
+    return max(re.split(r"\n|\[[^\]]*\]|\\.[+?]?|.\?", phrase), key=len)
+
+
 def _signals(c: Column, phrases: list[str], stems: str) -> Column:
-    """How many of the phrases occur, each at word bounds.  Every phrase holds one of the stems, which are looked for first."""
-    found = [c.rlike(_BEFORE + p + _AFTER).cast("int") for p in phrases]
+    """How many of the phrases occur, each at word bounds.  Every phrase holds one of the stems, which are looked for first, then the phrase's own words."""
+    found = [(F.contains(c, F.lit(_always(p))) & c.rlike(_BEFORE + p + _AFTER)).cast("int") for p in phrases]
     total = found[0]
     for f in found[1:]:
         total = total + f
@@ -60,14 +68,18 @@ def _signals(c: Column, phrases: list[str], stems: str) -> Column:
 
 def generic_title(title: Column) -> Column:
     """Normalised titles that are those of archives, error pages and the like."""
-    t = text.trim(F.regexp_replace(F.lower(title), r"[|:–—\-\s]+\z", ""))
+    start = text.trim(F.rtrim(F.lower(title), F.lit("|:–—- \t\n\x0b\f\r")))
     section = r"^(?:untitled|posts?|news archive|news|latest news|latest|homepage|home|blog|articles?|archives?)(?:\s*[–—|\-]\s*.+)?\z"
     error = r"^(?:web server is returning an unknown error|something went wrong|service unavailable|page not found|looking for something|internal server error|forbidden|bad gateway|access denied)(?:\s*[–—|\-]\s*.+)?\z"
     others = [r"^day:\s+[a-z]+\s+\d{1,2},?\s+20\d\d\z", r"^your choices regarding cookies on this site\z", r"^scitechdaily\s*[|\-]\s*science,? space and technology news\s+20\d\d\z", _BEFORE + "(?:500|403|404)" + _AFTER]
-    hit = t.rlike(section) | t.rlike(error)
-    for pattern in others:
-        hit = hit | t.rlike(pattern)
-    return (t != "") & ((F.length(t) > 300) | hit)
+
+    def judge(t: Column) -> Column:
+        hit = t.rlike(section) | t.rlike(error)
+        for pattern in others:
+            hit = hit | t.rlike(pattern)
+        return (t != "") & ((F.length(t) > 300) | hit)
+
+    return text.let(start, judge)
 
 
 def html_shell(raw: Column) -> Column:
@@ -84,7 +96,7 @@ def code_shell(raw: Column) -> Column:
     Every case needs two signs at least, so lines are looked at only where there are as many.
     """
     s = F.substring(raw, 1, 20_000)
-    js = F.regexp_count(s, F.lit(rf"(?i)(?:{_BEFORE}(?:var|let|const|function)\s+[a-z_$][\w$]*\s*[=(]|{_BEFORE}(?:__NEXT_DATA__|webpackJsonp|module\.exports|document|window){_AFTER}|=>\s*[({{]|[}};]\s*[}};])"))
+    js = F.regexp_count(s, F.lit(rf"(?i)(?=[vlcf_wmd=}};])(?:{_BEFORE}(?:var|let|const|function)\s+[a-z_$][\w$]*\s*[=(]|{_BEFORE}(?:__NEXT_DATA__|webpackJsonp|module\.exports|document|window){_AFTER}|=>\s*[({{]|[}};]\s*[}};])"))
     css = F.regexp_count(s, F.lit(rf"(?im)(?:^|\n)\s*(?:@(?:import|keyframes|font-face|media){_AFTER}|[a-z.#][^\n{{}}]{{0,120}}\{{\s*(?:[a-z-]+\s*:\s*[^;}}]+;)+)"))
     signs = F.struct(
         F.when(_has(s, "=|(|}|;") | _has(F.lower(s), "__next_data__|webpackjsonp|module.exports|document|window"), js).otherwise(0).alias("js"),
@@ -104,23 +116,27 @@ def code_shell(raw: Column) -> Column:
     return text.let(signs, judge)
 
 
-def cookie_noise(raw: Column) -> Column:
-    n = _signals(F.lower(raw), COOKIE, "cookie|consent")
+# these take the text in lower case as well, which is computed once for all
+
+
+def cookie_noise(raw: Column, low: Column | None = None) -> Column:
+    n = _signals(F.lower(raw) if low is None else low, COOKIE, "cookie|consent")
     return (n >= 2) | ((n >= 1) & (F.length(raw) < 1500))
 
 
-def paywall(raw: Column) -> Column:
-    return _signals(F.lower(raw), PAYWALL, "article|register to|sign in to|log in to|free trial|limit|subscri") >= 1
+def paywall(raw: Column, low: Column | None = None) -> Column:
+    return _signals(F.lower(raw) if low is None else low, PAYWALL, "article|register to|sign in to|log in to|free trial|limit|subscri") >= 1
 
 
-def bot_challenge(raw: Column) -> Column:
-    start = F.substring(F.lower(raw), 1, 2500)
-    guarded = start.rlike(rf"(?s){_BEFORE}attention required{_AFTER}.*{_BEFORE}cloudflare{_AFTER}") | start.rlike(_BEFORE + "cf-chl-")
+def bot_challenge(raw: Column, low: Column | None = None) -> Column:
+    start = F.substring(F.lower(raw) if low is None else low, 1, 2500)
+    required = _has(start, "attention required") & start.rlike(rf"(?s){_BEFORE}attention required{_AFTER}.*{_BEFORE}cloudflare{_AFTER}")
+    guarded = required | (_has(start, "cf-chl-") & start.rlike(_BEFORE + "cf-chl-"))
     return guarded | (_signals(start, CHALLENGE, "bad gateway|unavailable|not found|forbidden|could not be|captcha|javascript|human|browser") >= 1)
 
 
-def navigation_noise(raw: Column, sentences: Column) -> Column:
-    n = _signals(F.lower(raw), NAVIGATION, "follow us|menu|navigation|terms|privacy|home|skip to")
+def navigation_noise(raw: Column, sentences: Column, low: Column | None = None) -> Column:
+    n = _signals(F.lower(raw) if low is None else low, NAVIGATION, "follow us|menu|navigation|terms|privacy|home|skip to")
     return (n >= 3) | ((n >= 2) & ((F.length(raw) < 1500) | (sentences < 4)))
 
 
@@ -128,7 +144,7 @@ def non_prose(clean: Column, m: Column, min_words: int) -> Column:
     latin, letters = text.count_of(clean, "A-Za-z"), text.count_of(clean, r"\p{L}")
     mostly = (letters > 0) & (latin / F.greatest(letters, F.lit(1)) >= 0.7)
     thin = (m["word_count"] < min_words) | ((m["sentence_count"] < 3) & (m["character_count"] < 2000))
-    return (clean == "") | (m["letter_ratio"] < 0.52) | (mostly & thin)
+    return (clean == "") | (m["letter_ratio"] < 0.52) | (thin & mostly)
 
 
 def repetitive(m: Column) -> Column:
@@ -152,8 +168,8 @@ def validated(candidates: DataFrame, as_of: Column, options: Options = Options()
     out = out.withColumn("canonical_url", urls.canonical(F.col("url"))).withColumn("published_at", dates.parse_strict(F.col("published_date")))
     # each step is a projection of its own, computed once
     out = out.withColumn("cleaned_text", text.barrier(text.without_boilerplate(F.col("_raw"))))
-    out = out.withColumn("metrics", text.barrier(text.metrics(F.col("cleaned_text"))))
-    raw, title, clean, m = (F.col(c) for c in ("_raw", "_title", "cleaned_text", "metrics"))
+    out = out.withColumn("metrics", text.barrier(text.metrics(F.col("cleaned_text")))).withColumn("_low", text.barrier(F.lower(F.col("_raw"))))
+    raw, title, clean, m, lower = (F.col(c) for c in ("_raw", "_title", "cleaned_text", "metrics", "_low"))
     low, high = dates.window_bounds(as_of, options.days_back, options.tolerance_minutes)
     missing = F.col("published_date").isNull() | (F.col("published_date") == "")
     rules = {
@@ -166,10 +182,10 @@ def validated(candidates: DataFrame, as_of: Column, options: Options = Options()
         "GENERIC_OR_ERROR_TITLE": generic_title(title),
         "HTML_SHELL": html_shell(raw),
         "JAVASCRIPT_OR_CSS_SHELL": code_shell(raw),
-        "COOKIE_OR_CONSENT_NOISE": cookie_noise(raw),
-        "PAYWALL_OR_LOGIN_WALL": paywall(raw),
-        "BOT_CHALLENGE_OR_ERROR_PAGE": bot_challenge(raw),
-        "NAVIGATION_NOISE": navigation_noise(raw, m["sentence_count"]),
+        "COOKIE_OR_CONSENT_NOISE": cookie_noise(raw, lower),
+        "PAYWALL_OR_LOGIN_WALL": paywall(raw, lower),
+        "BOT_CHALLENGE_OR_ERROR_PAGE": bot_challenge(raw, lower),
+        "NAVIGATION_NOISE": navigation_noise(raw, m["sentence_count"], lower),
         "CONTENT_TOO_SHORT": m["character_count"] < options.min_characters,
         "NON_PROSE_CONTENT": non_prose(clean, m, options.min_words),
         "REPETITIVE_CONTENT": repetitive(m),
@@ -178,4 +194,4 @@ def validated(candidates: DataFrame, as_of: Column, options: Options = Options()
     out = out.withColumn("rejection_codes", text.barrier(codes))
     found = F.col("rejection_codes")
     out = out.withColumns({"accepted": F.size(found) == 0, "reason_code": F.get(found, F.lit(0)), "quality_score": score(found), "content_hash": text.content_hash(clean, decode)})
-    return out.drop("_raw", "_title")
+    return out.drop("_raw", "_title", "_low")
